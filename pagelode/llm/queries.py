@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import contamination
+from pagelode.llm import contamination, quality
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,21 @@ def p7_matches(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_matches(spark, folder).where(F.col("run_words") >= contamination.WINDOW).select("doc_id", "item_id")
+
+
+@query
+def p1_text_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of every document, from its text."""
+    return quality.text_figures(read_table(spark, folder, "documents"))
+
+
+@query
+def p1_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Outlier scores of every document with text."""
+    out = quality.document_forms(read_table(spark, folder, "documents"))
+    return out.select("doc_id", "language", *quality.STATISTICS, F.round("score", 6).alias("score"), "kind")
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.document_forms(read_table(spark, folder, "documents")).where(F.col("kind").isNotNull()).select("doc_id", "kind")
