@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import contamination, quality
+from pagelode.llm import contamination, langid, quality
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,14 @@ def p1_outliers(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return quality.document_forms(read_table(spark, folder, "documents")).where(F.col("kind").isNotNull()).select("doc_id", "kind")
+
+
+@query
+def p8_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Language segments of every document, with confidence."""
+    return langid.document_languages(read_table(spark, folder, "documents")).withColumn("confidence", F.round("confidence", 6))
+
+
+@query
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.mislabelled(langid.document_languages(read_table(spark, folder, "documents"), doubtful_only=True))
