@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import contamination, langid, quality
+from pagelode.llm import confusables, contamination, langid, mojibake, quality
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,44 @@ def p8_segments(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return langid.mislabelled(langid.document_languages(read_table(spark, folder, "documents"), doubtful_only=True))
+
+
+def _line_words(spark: SparkSession, folder: str) -> dict[str, int]:
+    return mojibake.lexicon([read_table(spark, folder, "line_records").select("text")])
+
+
+def _records(spark: SparkSession, folder: str, table: str, record_id: str, text: str) -> DataFrame:
+    return read_table(spark, folder, table).select(F.lit(table).alias("source_table"), "manual_id", F.col(record_id).alias("record_id"), F.col(text).alias("text"))
+
+
+FOUND = ["source_table", "manual_id", "record_id"]
+
+
+@query
+def p4_consistent(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and titles that aren't in their consistent form, with that form."""
+    records = _records(spark, folder, "line_records", "line_id", "text").unionAll(_records(spark, folder, "toc_entries", "line_id", "normalized_title"))
+    return confusables.consistent(records, FOUND, "text", _line_words(spark, folder)).distinct()
+
+
+@query
+def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Line texts that look the same but have several forms."""
+    return confusables.classes(read_table(spark, folder, "line_records"), "text")
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_consistent(spark, folder).where(~F.col("misread")).select(*FOUND).distinct()
+
+
+@query
+def p5_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and chunks that were read in a wrong encoding, restored."""
+    records = _records(spark, folder, "line_records", "line_id", "text").unionAll(_records(spark, folder, "retrieval_chunks", "chunk_id", "embedding_text"))
+    return mojibake.decoded(records, _line_words(spark, folder), FOUND, "text").distinct()
+
+
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_decoded(spark, folder).select(*FOUND).distinct()
