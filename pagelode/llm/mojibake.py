@@ -71,7 +71,7 @@ def lattice(word: str, page: str) -> tuple[list[tuple[str, ...]], int, int] | No
     out: list[tuple[str, ...]] = []
     strict = wild = i = 0
     while i < len(word):
-        lead = table.get(word[i], 0)
+        lead = 0 if word[i] == "\u00a0" else table.get(word[i], 0)
         n = _length(lead)
         if n and i + n <= len(word):
             rest = [-1 if c == LOST else table.get(c, 0) for c in word[i + 1 : i + n]]
@@ -79,7 +79,7 @@ def lattice(word: str, page: str) -> tuple[list[tuple[str, ...]], int, int] | No
                 if -1 not in rest:
                     try:
                         c = bytes([lead, *rest]).decode()
-                        if c < "\u2c00" or c in "\ufeff\ufffd\ufb01\ufb02":  # else chance: no text here has such letters
+                        if c < "\u0250" or "\u0370" <= c <= "\u04ff" or "\u1e00" <= c <= "\u22ff" or c in "\ufeff\ufffd\ufb01\ufb02":  # else chance: no text here has such letters
                             out.append((c,))
                             strict += 1
                             i += n

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import confusables, contamination, langid, mojibake, quality
+from pagelode.llm import boilerplate, confusables, contamination, langid, mojibake, quality
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,21 @@ def p5_decoded(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_decoded(spark, folder).select(*FOUND).distinct()
+
+
+@query
+def p3_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that come back on many pages of their manual."""
+    return boilerplate.repeated_lines(read_table(spark, folder, "line_records"), read_table(spark, folder, "manual_pages"))
+
+
+@query
+def p3_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines left on each page without the repeated ones."""
+    lines = read_table(spark, folder, "line_records").select("manual_id", "page_id", "line_id", "text").distinct()
+    return boilerplate.without_repeated(lines, p3_repeated(spark, folder))
+
+
+@query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p3_repeated(spark, folder).select("manual_id", "line_id").distinct()
