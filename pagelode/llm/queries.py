@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import boilerplate, confusables, contamination, langid, mojibake, quality
+from pagelode.llm import boilerplate, confusables, contamination, langid, mojibake, packing, quality, splitting
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,27 @@ def p3_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_repeated(spark, folder).select("manual_id", "line_id").distinct()
+
+
+@query
+def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every oversized chunk, with their lines."""
+    return splitting.split_chunks(read_table(spark, folder, "retrieval_chunks"), read_table(spark, folder, "line_records"))
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.split_chunks(read_table(spark, folder, "retrieval_chunks")).where(F.col("piece") == 2).select("chunk_id").distinct()
+
+
+@query
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """The container of every document, or of each of its pieces."""
+    return packing.packed(read_table(spark, folder, "documents"))
+
+
+_SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+ORACLES["p2_found"] = f"""
+    SELECT DISTINCT chunk_id FROM retrieval_chunks
+    WHERE length(text) > 2400 OR len(list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda w: w <> '')) > 220
+"""
