@@ -27,6 +27,10 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+#: Else the optimizer pushes filters on a score below a distinct and evaluates the similarity twice.
+sequence_ratio = sequence_ratio.asNondeterministic()
+
+
 def _tokens(c: Column) -> Column:
     return F.filter(F.split(c, " "), lambda w: w != "")
 

@@ -32,7 +32,8 @@ def toc_pages(lines: DataFrame, pages: DataFrame) -> DataFrame:
         + F.when((F.col("short") / F.col("lines") > 0.75) & (F.col("lines") >= 8), 0.10).otherwise(0.0)
     )
     scored = pages.select("manual_id", "page_id").distinct().join(found, ["manual_id", "page_id"], "left")
-    filled = scored.withColumn("score", F.coalesce(F.round(F.least(F.lit(1.0), score), 6), F.lit(0.0))).fillna(0, ["dots", "numbered", "lines"])
+    known = F.when(F.col("lines").isNotNull(), F.round(F.least(F.lit(1.0), score), 6)).otherwise(0.0)  # least() would pass over nulls
+    filled = scored.withColumn("score", known).fillna(0, ["dots", "numbered", "lines"])
     return filled.select("manual_id", "page_id", "dots", "numbered", "lines", "score", (F.col("score") >= MEMBER).alias("is_toc"))
 
 
