@@ -135,9 +135,9 @@ def packed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
 
     A document within the capacity is one piece, 1. A longer one is cut into pieces of the capacity and a rest. An empty
     text has 0 tokens and lies in any container; a null text has one row with null tokens and container. doc_ids must be
-    unique: repeated rows are packed once, at their largest size.
+    unique: repeated rows are packed once, at their largest size, and rows without an id are left out.
     """
-    counts = cut_lineage(token_counts(documents, doc_id, text, path).groupBy("doc_id").agg(F.max("tokens").alias("n")))
+    counts = cut_lineage(token_counts(documents.where(F.col(doc_id).isNotNull()), doc_id, text, path).groupBy("doc_id").agg(F.max("tokens").alias("n")))
     pieces = F.greatest(F.lit(1), F.ceil(F.col("n") / capacity)).cast("int")
     items = counts.where(F.col("n").isNotNull()).select("doc_id", "n", F.explode(F.sequence(F.lit(1), pieces)).alias("piece"))
     first = (F.col("piece") - 1).cast("bigint") * capacity
