@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that lost executors don't cost a recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a compressed table into the shared checkpoint folder and read it from there.
+
+    Like :func:`cut_lineage` for wide tables: columns are compressed and later steps read only those they need. The table
+    is removed when the driver's process ends.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/pagelode-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _WRITTEN:
+        atexit.register(_remove_written)
+    _WRITTEN.append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove_written() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session may be gone: nothing is left to do here
+            return
