@@ -22,18 +22,19 @@ from pagelode.llm import quality
 from pagelode.llm.quality import LANGUAGE_NAMES, label_language
 
 LANGUAGES = tuple(LANGUAGE_NAMES)
-SAMPLE = 120  #: labelled documents of each language used for training, at most
+SAMPLE = 200  #: labelled documents of each language used for training, at most
 SAMPLE_BYTES = 1536  #: bytes of each used for training
 PATCH = 4  #: bytes a step
 STEPS = 64  #: steps of a window
 HIDDEN = 12
 HASHES = 8192
-ITERATIONS = 260
+ITERATIONS = 360
 LEAST_WORDS = 20  #: consecutive words that make a language part of a document
 LEAST_LOG = -6.0  #: log probability below which a position says no more
 WORD_WEIGHT = 0.5  #: weight of a position's evidence, as neighbouring positions share theirs
 LEAST_CONFIDENCE = 0.65  #: of a segment that makes a document mixed
-CHANGE_COST = 7.0  #: -ln probability of a change of language between two words
+CHANGE_COST = 10.0  #: -ln probability of a change of language between two words
+MARK_COST = 5.0  #: the same at the end of a sentence or line
 
 
 def _trigrams(data: np.ndarray) -> np.ndarray:
@@ -44,12 +45,15 @@ def _trigrams(data: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint32(15))) % HASHES).astype(np.int32).reshape(-1, PATCH)
 
 
-_BARE = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+MARK = 1  #: the byte that stands for the end of a sentence or line
+_BARE = bytes(c if c >= 128 or 97 <= c <= 122 or c == MARK else 32 for c in range(256))
 
 
 def text_bytes(text: str) -> bytes:
-    """What the network reads: lower case, anything of ASCII but letters as one space."""
+    """What the network reads: lower case, ends of sentences and lines as a word of their own, all else but letters as one space."""
     text = text.lower()
+    for end in ".!?;\n":
+        text = text.replace(end, " \x01 ")
     if not text.isascii():
         for sign in "¦–—„”“«»•▪’…":
             text = text.replace(sign, " ")
@@ -103,7 +107,7 @@ class Network:
         return y.transpose(1, 0, 2)
 
     def gradients(self, grams: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
-        """Mean loss, and its gradients by backpropagation through time."""
+        """Mean loss, and its gradients by backpropagation through time; labels are (rows, steps)."""
         p, h = self.p, HIDDEN
         kept = {"f": [], "b": []}
         states = np.concatenate([self.run(grams, d, kept[d]) for d in "fb"], axis=2)
@@ -111,8 +115,9 @@ class Network:
         y = states @ p["W"] + p["c"]
         y = np.exp(y - y.max(axis=2, keepdims=True))
         y /= y.sum(axis=2, keepdims=True)
-        loss = float(-np.log(y[:, np.arange(rows), labels] + 1e-9).mean())
-        y[:, np.arange(rows), labels] -= 1
+        at = np.arange(steps)[:, None], np.arange(rows)[None, :], labels.T
+        loss = float(-np.log(y[at] + 1e-9).mean())
+        y[at] -= 1
         y /= steps * rows
         g = {"W": states.reshape(-1, 2 * h).T @ y.reshape(-1, y.shape[2]), "c": y.sum(axis=(0, 1))}
         back = y @ p["W"].T
@@ -133,14 +138,15 @@ class Network:
                 carry = carry * (1 - z) + g_rs * r + g_gates @ p[f"U{d}"].T
             flat = gx.transpose(1, 0, 2).reshape(-1, 3 * h)
             gE = np.zeros_like(p[f"E{d}"])
-            index = grams.reshape(-1, PATCH)
-            for k in range(PATCH):
-                np.add.at(gE, index[:, k], flat)
+            index = grams.reshape(-1)
+            order = np.argsort(index, kind="stable")
+            used, first = np.unique(index[order], return_index=True)
+            gE[used] = np.add.reduceat(flat[order // PATCH], first, axis=0)
             g |= {f"E{d}": gE, f"b{d}": flat.sum(axis=0), f"U{d}": gU, f"V{d}": gV}
         return loss, g, y
 
-    def train(self, texts: list[bytes], labels: list[int], iterations: int = ITERATIONS, batch: int = 96, steps: int = 16, seed: int = 11) -> float:
-        """Adam over windows drawn alike from each language; returns the last losses' mean."""
+    def train(self, texts: list[bytes], labels: list[int], iterations: int = ITERATIONS, batch: int = 96, steps: int = 24, seed: int = 11) -> float:
+        """Adam over windows drawn alike from each language, half of which change to another text midway; returns the last losses' mean."""
         rng = np.random.default_rng(seed)
         grams = [_trigrams(np.frombuffer(t, np.uint8)) for t in texts]
         by = [[i for i, (g, l) in enumerate(zip(grams, labels)) if l == k and len(g) >= steps] for k in range(len(LANGUAGES))]
@@ -154,7 +160,10 @@ class Network:
             chosen = [by[k][rng.integers(len(by[k]))] for k in rng.choice(kinds, batch)]
             shift = [rng.integers(len(grams[i]) - steps + 1) for i in chosen]
             x = np.stack([grams[i][s : s + steps] for i, s in zip(chosen, shift)])
-            loss, g, _ = self.gradients(x, np.array([labels[i] for i in chosen]))
+            own = np.repeat(np.array([labels[i] for i in chosen])[:, None], steps, axis=1)
+            for r, cut in enumerate(rng.integers(1, steps, batch // 2).tolist()):
+                x[r, cut:], own[r, cut:] = x[batch - 1 - r, cut:], own[batch - 1 - r, cut:]
+            loss, g, _ = self.gradients(x, own)
             losses.append(loss)
             rate = 0.02 * min(1.0, n / 20) * (1 - n / (iterations + 1)) + 1e-4
             for k in self.p:
@@ -206,8 +215,8 @@ def label_positions(network: Network, datas: list[bytes]) -> np.ndarray:
     return out
 
 
-def segment_all(documents: list[np.ndarray], cost: float = CHANGE_COST) -> list[np.ndarray]:
-    """Language of each word of each document: Viterbi over log probabilities with a cost for each change."""
+def segment_all(documents: list[np.ndarray], costs: list[np.ndarray]) -> list[np.ndarray]:
+    """Language of each word of each document: Viterbi over log probabilities with a cost for a change before each word."""
     out: list[np.ndarray] = [np.empty(0, np.int8)] * len(documents)
     order = sorted(range(len(documents)), key=lambda i: len(documents[i]))
     for base in range(0, len(order), 64):
@@ -215,14 +224,16 @@ def segment_all(documents: list[np.ndarray], cost: float = CHANGE_COST) -> list[
         sizes = np.array([len(documents[i]) for i in group])
         steps, kinds = int(sizes.max()), documents[group[0]].shape[1]
         words = np.zeros((steps, len(group), kinds), np.float32)  # nothing is added beyond a document's end
+        cost = np.full((steps, len(group)), CHANGE_COST)
         for r, i in enumerate(group):
             words[: sizes[r], r] = documents[i]
+            cost[: sizes[r], r] = costs[i]
         back = np.empty(words.shape, np.int8)
         same, rows = np.arange(kinds, dtype=np.int8), np.arange(len(group))
         score = words[0].astype(np.float64)
         for t in range(1, steps):
             best = score.argmax(axis=1)
-            change = score[rows, best] - cost
+            change = score[rows, best] - cost[t]
             stay = score >= change[:, None]
             back[t] = np.where(stay, same, best[:, None])
             score = np.maximum(score, change[:, None]) + words[t]
@@ -254,14 +265,15 @@ def _segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, in
     labels = label_positions(network, datas)
     base = 0
     found: list[list[tuple[str, int, int, float]]] = []
-    mixed: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    mixed: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     for data in datas:
         patches = -(-len(data) // PATCH)
         own = labels[base : base + patches]
         base += patches
         b = np.frombuffer(data, np.uint8)
         starts = np.flatnonzero((b[1:] != 32) & (b[:-1] == 32)) + 1
-        n = len(starts)
+        marks = b[starts] == MARK
+        n = len(starts) - int(marks.sum())
         if not n:
             found.append([])
             continue
@@ -270,23 +282,27 @@ def _segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, in
         np.cumsum(np.maximum(own, LEAST_LOG), axis=0, out=total[1:])
         lo, hi = starts // PATCH, np.maximum(-(-ends // PATCH), starts // PATCH + 1)
         words = (total[hi] - total[lo]) * WORD_WEIGHT
+        words[marks] = 0.0
         main = int(total[-1].argmax())
         # A stretch of another language gains more than the cost of changing to it; without one the text has one language.
         gain = np.cumsum(words - words[:, main : main + 1], axis=0)
         rise = gain - np.minimum(np.minimum.accumulate(gain, axis=0), 0)
-        if rise.max() <= CHANGE_COST:
+        if rise.max() <= MARK_COST:
             p = np.exp((total[-1] - total[-1].max()) / patches)
             found.append([(LANGUAGES[main], 0, n, float(p[main] / p.sum()))])
         else:
-            mixed.append((len(found), words, total, lo, hi))
+            mixed.append((len(found), words, total, lo, hi, marks))
             found.append([])
-    for (i, _, total, lo, hi), path in zip(mixed, segment_all([m[1] for m in mixed])):
+    costs = [np.where(np.concatenate(([False], marks[:-1])) | marks, MARK_COST, CHANGE_COST) for *_, marks in mixed]
+    for (i, _, total, lo, hi, marks), path in zip(mixed, segment_all([m[1] for m in mixed], costs)):
+        counted = np.concatenate(([0], np.cumsum(~marks)))
         cuts = (np.flatnonzero(np.diff(path)) + 1).tolist()
         for s, e in zip([0, *cuts], [*cuts, len(path)]):
             own = (total[hi[e - 1]] - total[lo[s]]) / max(hi[e - 1] - lo[s], 1)
             p = np.exp(own - own.max())
-            k = int(path[s])
-            found[i].append((LANGUAGES[k], s, e - s, float(p[k] / p.sum())))
+            k, size = int(path[s]), int(counted[e] - counted[s])
+            if size:
+                found[i].append((LANGUAGES[k], int(counted[s]), size, float(p[k] / p.sum())))
     yield from found
 
 
