@@ -187,17 +187,19 @@ def labelled_sample(documents: DataFrame, doc_id: str, text: str, lang: str) ->
 
 
 def trained(sample: list[tuple[bytes, int]]) -> Network:
-    """A network trained twice: the second time without the documents whose label the first one contradicts."""
+    """A network trained twice: the second time without the documents whose label the first one contradicts in any part."""
     first = Network()
     first.train([t for t, _ in sample], [l for _, l in sample], ITERATIONS // 2)
-    kept = [(t, l) for t, l in sample if int(mean_language(first, t).argmax()) == l]
+    kept = [(t, l) for t, l in sample if all(int(q.argmax()) == l for q in part_languages(first, t))]
     network = Network()
     network.train([t for t, _ in kept], [l for _, l in kept])
     return network
 
 
-def mean_language(network: Network, data: bytes) -> np.ndarray:
-    return np.exp(network.log_probabilities(_trigrams(np.frombuffer(data, np.uint8))[None])[0]).mean(axis=0)
+def part_languages(network: Network, data: bytes, parts: int = 6) -> list[np.ndarray]:
+    """Mean probabilities of the parts of a text, so that one in two languages doesn't pass for one."""
+    p = np.exp(network.log_probabilities(_trigrams(np.frombuffer(data, np.uint8))[None])[0])
+    return [q.mean(axis=0) for q in np.array_split(p, parts) if len(q)]
 
 
 def label_positions(network: Network, datas: list[bytes]) -> np.ndarray:
