@@ -343,12 +343,13 @@ def mislabelled(found: DataFrame) -> DataFrame:
     """Of segments: (doc_id, lang) of documents whose label is missing or wrong or that mix languages.
 
     A language counts in a mixed document from LEAST_WORDS consecutive words; a document without one that long has the
-    language of most of its words.
+    language of most of its words, which contradicts a label only from LEAST_CONFIDENCE.
     """
     best = F.max(F.struct("words", "confidence", "lang"))
     per = found.where(~F.col("junk")).groupBy("doc_id", "label").agg(
         F.collect_set(F.when((F.col("words") >= LEAST_WORDS) & (F.col("confidence") >= LEAST_CONFIDENCE), F.col("lang"))).alias("long"), best.alias("best")
     )
     langs = F.when(F.size("long") > 0, F.col("long")).otherwise(F.array("best.lang"))
-    wrong = F.col("label").isNull() | (F.size(langs) > 1) | (langs[0] != F.col("label"))
+    sure = (F.size("long") > 0) | (F.col("best.confidence") >= LEAST_CONFIDENCE)
+    wrong = F.col("label").isNull() | (F.size(langs) > 1) | ((langs[0] != F.col("label")) & sure)
     return per.where(wrong).select("doc_id", F.explode(langs).alias("lang")).distinct()
