@@ -98,9 +98,39 @@ class Network:
             out[t] = state
         return out
 
+    def states(self, grams: np.ndarray) -> np.ndarray:
+        """Hidden states of both directions, as of :meth:`run`, in place and with the halving of the gates' sums in the weights."""
+        h = HIDDEN
+        rows, steps, _ = grams.shape
+        g = np.ascontiguousarray(grams.transpose(1, 2, 0))
+        out = np.empty((steps, rows, 2 * h), np.float32)
+        half = np.concatenate([np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)])
+        sums, change, reset = np.empty((rows, 2 * h), np.float32), np.empty((rows, h), np.float32), np.empty((rows, h), np.float32)
+        for n, d in enumerate("fb"):
+            E, U, V = (self.p[f"E{d}"] + self.p[f"b{d}"] / PATCH) * half, self.p[f"U{d}"] * np.float32(0.5), self.p[f"V{d}"]
+            state = np.zeros((rows, h), np.float32)
+            for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
+                x = E.take(g[t, 0], axis=0)
+                for k in range(1, PATCH):
+                    x += E.take(g[t, k], axis=0)
+                np.matmul(state, U, out=sums)
+                sums += x[:, : 2 * h]
+                np.tanh(sums, out=sums)
+                sums += 1
+                sums *= 0.5
+                np.multiply(sums[:, h:], state, out=reset)
+                np.matmul(reset, V, out=change)
+                change += x[:, 2 * h :]
+                np.tanh(change, out=change)
+                change -= state
+                change *= sums[:, :h]
+                state += change
+                out[t, :, n * h : (n + 1) * h] = state
+        return out
+
     def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
         """(rows, steps, languages)."""
-        states = np.concatenate([self.run(grams, "f"), self.run(grams, "b")], axis=2)
+        states = self.states(grams)
         y = states @ self.p["W"] + self.p["c"]
         y -= y.max(axis=2, keepdims=True)
         y -= np.log(np.exp(y).sum(axis=2, keepdims=True))
@@ -208,7 +238,7 @@ def label_positions(network: Network, datas: list[bytes]) -> np.ndarray:
     grams = _trigrams(joined)
     n = len(grams)
     out = np.empty((n, len(LANGUAGES)), np.float32)
-    rows = 512
+    rows = 1024
     for base in range(0, n, rows * STEPS):
         part = grams[base : base + rows * STEPS]
         size = len(part)
@@ -265,13 +295,24 @@ def segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, int
 def _segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, int, int, float]]]:
     datas = [text_bytes(t) for t in texts]
     labels = label_positions(network, datas)
-    base = 0
+    np.maximum(labels, LEAST_LOG, out=labels)
+    sizes = np.array([-(-len(d) // PATCH) for d in datas])
+    begins = np.cumsum(sizes) - sizes
+    sums = np.add.reduceat(labels, begins, axis=0, dtype=np.float64)
+    mains = sums.argmax(axis=1)
+    # No stretch can gain more by another language than all positions together; a word's edges count twice at most.
+    gaps = labels.max(axis=1) - labels[np.arange(len(labels)), np.repeat(mains, sizes)]
+    most = 2 * WORD_WEIGHT * np.add.reduceat(gaps, begins)
+    shares = np.exp((sums - sums.max(axis=1, keepdims=True)) / sizes[:, None])
+    sure = shares[np.arange(len(datas)), mains] / shares.sum(axis=1)
     found: list[list[tuple[str, int, int, float]]] = []
     mixed: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-    for data in datas:
-        patches = -(-len(data) // PATCH)
+    for data, patches, base, main, gain, confidence in zip(datas, sizes.tolist(), begins.tolist(), mains.tolist(), most.tolist(), sure.tolist()):
+        if gain <= MARK_COST:
+            n = data.count(b" ") - 1 - data.count(b"\x01")
+            found.append([(LANGUAGES[main], 0, n, confidence)] if n > 0 else [])
+            continue
         own = labels[base : base + patches]
-        base += patches
         b = np.frombuffer(data, np.uint8)
         starts = np.flatnonzero((b[1:] != 32) & (b[:-1] == 32)) + 1
         marks = b[starts] == MARK
@@ -281,17 +322,15 @@ def _segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, in
             continue
         ends = np.append(starts[1:], len(data)) - 1
         total = np.zeros((patches + 1, own.shape[1]), np.float64)
-        np.cumsum(np.maximum(own, LEAST_LOG), axis=0, out=total[1:])
+        np.cumsum(own, axis=0, out=total[1:])
         lo, hi = starts // PATCH, np.maximum(-(-ends // PATCH), starts // PATCH + 1)
         words = (total[hi] - total[lo]) * WORD_WEIGHT
         words[marks] = 0.0
-        main = int(total[-1].argmax())
         # A stretch of another language gains more than the cost of changing to it; without one the text has one language.
         gain = np.cumsum(words - words[:, main : main + 1], axis=0)
         rise = gain - np.minimum(np.minimum.accumulate(gain, axis=0), 0)
         if rise.max() <= MARK_COST:
-            p = np.exp((total[-1] - total[-1].max()) / patches)
-            found.append([(LANGUAGES[main], 0, n, float(p[main] / p.sum()))])
+            found.append([(LANGUAGES[main], 0, n, confidence)])
         else:
             mixed.append((len(found), words, total, lo, hi, marks))
             found.append([])

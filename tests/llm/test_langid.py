@@ -84,3 +84,9 @@ def test_documents(spark):
     out = sorted(map(tuple, L.mislabelled(L.document_languages(df, doubtful_only=True)).collect()))
     assert out == [(9001, "ro"), (9002, "ro"), (9003, "hu"), (9003, "ro")]
     assert L.document_languages(df.limit(0)).count() == 0
+
+
+def test_both_forward_passes_agree(network):
+    grams = np.random.default_rng(4).integers(0, L.HASHES, (5, 9, L.PATCH)).astype(np.int32)
+    plain = np.concatenate([network.run(grams, "f"), network.run(grams, "b")], axis=2)
+    assert np.allclose(plain, network.states(grams), atol=1e-5)
