@@ -309,7 +309,7 @@ def _segments(network: Network, texts: list[str]) -> Iterator[list[tuple[str, in
     mixed: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     for data, patches, base, main, gain, confidence in zip(datas, sizes.tolist(), begins.tolist(), mains.tolist(), most.tolist(), sure.tolist()):
         if gain <= MARK_COST:
-            n = data.count(b" ") - 1 - data.count(b"\x01")
+            n = data.count(b" ") - 1 - data.count(b"\x01") if len(data) > 2 else 0
             found.append([(LANGUAGES[main], 0, n, confidence)] if n > 0 else [])
             continue
         own = labels[base : base + patches]
