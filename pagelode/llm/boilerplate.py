@@ -129,16 +129,17 @@ def _allowed() -> Column:
     return F.when(F.length("form") < 8, 0).otherwise(F.greatest(F.lit(1), F.floor(F.length("form") / SLIP))).cast("int")
 
 
-def clusters(forms: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
+def clusters(forms: DataFrame) -> DataFrame:
     """Rows (content, form, cluster) of the forms that join a more frequent form's cluster.
 
-    ``forms`` has (content, form, n_pages), each form once. A bucket whose forms stand on fewer than ``least`` pages in all
-    can't make a cluster that counts, and is passed over.
+    ``forms`` has (content, form, n_pages), each form once. Every bucket of two forms or more takes part: a cluster is the
+    union of links from different buckets, so none of its buckets need hold pages enough by itself.
     """
     banded = cut_lineage(_banded(forms))
     key = F.xxhash64("content", "band", "bucket")
-    leaders = banded.groupBy(key.alias("key")).agg(F.max(F.struct("n_pages", "form")).alias("lead"), F.count("*").alias("n"), F.sum("n_pages").alias("pages")).where((F.col("n") > 1) & (F.col("pages") >= least)).select("key", "lead")
-    pairs = banded.withColumn("key", key).join(leaders, "key").where(F.col("form") != F.col("lead.form")).select("content", "form", "lead").distinct()
+    leaders = banded.groupBy(key.alias("key")).agg(F.max(F.struct("n_pages", "form")).alias("lead"), F.count("*").alias("n")).where(F.col("n") > 1).select("key", "lead")
+    about = F.abs(F.length("form") - F.length("lead.form")) <= _allowed()
+    pairs = banded.withColumn("key", key).join(leaders, "key").where((F.col("form") != F.col("lead.form")) & about).select("content", "form", "lead").distinct()
     mark = lambda c: F.concat(F.substring(c, 1, 1) == "#", F.substring(c, -1, 1) == "#")  # noqa: E731  a number before isn't one behind
     near = F.levenshtein("form", "lead.form", 40).between(0, _allowed()) & (mark("form") == mark("lead.form"))
     best = pairs.where(near).groupBy("content", "form").agg(F.max("lead").alias("lead"))
@@ -160,7 +161,7 @@ def repeated_lines(lines: DataFrame, pages: DataFrame, least: int = LEAST_PAGES)
     spread = folded.select("content", "page_id").distinct().groupBy("content").count().where(F.col("count") >= least).select("content")
     open_ = folded.join(spread, "content", "leftsemi")
     forms = open_.select("content", "form", "page_id").distinct().groupBy("content", "form").agg(F.count("*").alias("n_pages"))
-    joined = open_.join(clusters(forms, least), ["content", "form"], "left").withColumn("cluster", F.coalesce("cluster", "form"))
+    joined = open_.join(clusters(forms), ["content", "form"], "left").withColumn("cluster", F.coalesce("cluster", "form"))
     wide = joined.select("content", "cluster", "page_id").distinct().groupBy("content", "cluster").count().where(F.col("count") >= least).select("content", "cluster")
     return joined.join(wide, ["content", "cluster"]).select("manual_id", "page_id", "line_id", "cluster").distinct()
 

@@ -24,6 +24,13 @@ def test_readers_sameness(spark):
     assert found(spark, [("m", p, t) for p, t in enumerate(forms, 1)]) == list(range(7))
 
 
+def test_slips_of_one_line_need_no_common_bucket(spark):
+    lines = ["Capitole alese", "Manual școlar", "Culegere de probleme", "Exerciții rezolvate", "Teste de evaluare"]
+    slips = [("m", p, t if p < 4 else t[: 3 * p - 10] + "w" + t[3 * p - 9 :]) for t in lines for p in range(1, 7)]
+    assert found(spark, slips) == list(range(30))
+    assert found(spark, [x for x in slips if x[1] < 6]) == []
+
+
 def test_five_pages_or_one_page_are_not_enough(spark):
     assert found(spark, [("m", p, NOTICE) for p in range(1, 6)] + [("n", 1, NOTICE)]) == []
     assert found(spark, [("m", 1, NOTICE)] * 9) == []
