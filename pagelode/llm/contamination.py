@@ -1,8 +1,14 @@
 """Evaluation passages inside a training corpus (problem 7).
 
-SimHash fingerprints of passage-sized word windows on both sides; a multi-index over disjoint bit blocks finds every
-pair of fingerprints within the radius (a pair that differs in at most R bits agrees on one of R + 1 blocks); each
-candidate is then checked exactly, by its run of equal words and by weighted shingle similarity.
+SimHash fingerprints of 12-word windows on both sides; a multi-index over disjoint bit blocks finds every pair of
+fingerprints within the radius (a pair that differs in at most R bits agrees on one of R + 1 blocks); each candidate is
+then checked exactly, by its run of equal words.
+
+Retouched passages, in which words were replaced all over, are found at the size of the whole item: fingerprints of as
+many words as the item (or its first or second half, for passages that are only a part) has are compared within a radius
+that fits a quarter of replaced words. At such a radius blocks of bits rule nothing out; instead, only windows are compared
+whose shingles weigh enough for any item's part (a bound from running sums that no counting window misses). Candidates are
+checked by weighted shingles.
 
 The evaluation side is a stated query set (the held-out items): it is read to the driver behind a size check and
 sent to the executors; the corpus is scanned once, in Arrow batches, and is never shuffled before the few matches.
@@ -27,8 +33,12 @@ WORD = re.compile(r"[^\W_]+")
 WINDOW = 12  #: words of a passage
 RADIUS = 2  #: bits in which two fingerprints may differ
 BLOCK_BITS = (21, 21, 22)  #: RADIUS + 1 disjoint blocks of the 64 bits
-SHINGLE = 5  #: words of a shingle in the exact check
-SIMILARITY = 0.8  #: weighted shingle similarity from which a retouched passage counts
+SHINGLE = 3  #: words of a shingle in the check of retouched passages
+SIMILARITY = 0.3  #: share of a part's weighted shingles from which a retouched passage counts: one word of six replaced keeps half
+RARE = 16  #: items that hold a shingle at most for its weight to be counted item by item
+STRIDE = 4  #: words between the starts of item-sized windows
+PART_RADIUS = 23  #: bits in which the fingerprints of item-sized windows may differ
+PART_WORDS = (20, 127)  #: words of an item's part; longer items are cut into more parts, and shorter halves aren't taken
 OTHER = 4096  #: bit patterns shared by words that no item holds
 MAX_ITEM_WORDS = 2_000_000  #: words of items sent to the executors at once
 
@@ -75,20 +85,108 @@ class PassageIndex:
             seen[part.astype(np.int64)] = True
             self.blocks.append((shift, bits, seen, part[order], order))
             shift += bits
+        # Whole items and their halves, by length: item numbers, first words, fingerprints.
+        parts: dict[int, list[tuple[int, int]]] = {}
+        least, most = PART_WORDS
+        for n, (_, ws) in enumerate(self.items):
+            pieces = -(-len(ws) // most)
+            for k in {pieces, 2 * pieces} if len(ws) >= WINDOW else ():
+                size = len(ws) // k
+                if k == 1 or size >= least:
+                    for at in range(k):
+                        parts.setdefault(size, []).append((n, at * size))
         # A shingle weighs more the fewer items hold it.
-        held: dict[tuple[str, ...], int] = {}
-        for _, ws in self.items:
-            for s in {tuple(ws[k : k + SHINGLE]) for k in range(len(ws) - SHINGLE + 1)}:
-                held[s] = held.get(s, 0) + 1
-        self.weight = {s: 1.0 / n for s, n in held.items()}
+        held: dict[tuple[str, ...], list[int]] = {}
+        for n, (_, ws) in enumerate(self.items):
+            for s in self._shingles(n, 0, len(ws)):
+                held.setdefault(s, []).append(n)
+        self.weight = {s: 1.0 / len(of) for s, of in held.items()}
+        keyed = sorted((self._key(*(self.vocab[w] for w in s)), of) for s, of in held.items())
+        self.keys = np.array([k for k, _ in keyed], dtype=np.int64)
+        self.held = np.array([len(of) for _, of in keyed], dtype=np.int64)
+        self.holders = np.fromiter(chain.from_iterable(of for _, of in keyed), dtype=np.int64)
+        self.parts = []
+        for size, owned in parts.items():
+            ids = [np.fromiter((self.vocab[w] for w in self.items[n][1][at : at + size]), dtype=np.int32, count=size) for n, at in owned]
+            needed = SIMILARITY * np.array([sum(self.weight[s] for s in self._shingles(n, at, size)) for n, at in owned])
+            self.parts.append((size, owned, np.concatenate([self.fingerprints(x, size) for x in ids]), needed))
 
-    def fingerprints(self, ids: np.ndarray) -> np.ndarray:
-        """SimHash of each window of WINDOW consecutive words."""
-        if len(ids) < WINDOW:
-            return np.zeros(0, np.uint64)
+    def sums(self, ids: np.ndarray) -> np.ndarray:
+        """Running sums of the words' bit patterns; they may wrap, but differences over fewer than 128 words don't."""
         run = np.zeros((len(ids) + 1, 64), dtype=np.int8)
-        np.cumsum(self.signs[ids], axis=0, dtype=np.int8, out=run[1:])  # may wrap; differences over WINDOW < 128 words don't
-        return np.packbits(run[WINDOW:] - run[:-WINDOW] > 0, axis=1).view(np.uint64).ravel()
+        np.cumsum(self.signs[ids], axis=0, dtype=np.int8, out=run[1:])
+        return run
+
+    def fingerprints(self, ids: np.ndarray, size: int = WINDOW) -> np.ndarray:
+        """SimHash of each window of ``size`` consecutive words."""
+        if len(ids) < size:
+            return np.zeros(0, np.uint64)
+        run = self.sums(ids)
+        return np.packbits(run[size:] - run[:-size] > 0, axis=1).view(np.uint64).ravel()
+
+    def _key(self, a, b, c):
+        """A number for a shingle of three words' bit pattern numbers (under 2 ** 63, as MAX_ITEM_WORDS bounds them)."""
+        size = len(self.signs)
+        return (a * size + b) * size + c
+
+    def _shingles(self, n: int, k: int, size: int) -> set[tuple[str, ...]]:
+        ws = self.items[n][1]
+        return {tuple(ws[p : p + SHINGLE]) for p in range(k, k + size - SHINGLE + 1)}
+
+    def weighed(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
+        """Running sums of the weights of the shingles that start at each word, of all and of those that aren't rare, and the rare ones' by document and item."""
+        every, common = np.zeros(len(ids) + 1), np.zeros(len(ids) + 1)
+        if not len(self.keys) or len(ids) < SHINGLE:
+            return every, common, {}
+        wide = ids.astype(np.int64)
+        keys = self._key(wide[:-2], wide[1:-1], wide[2:])
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == keys)
+        at = at[hit]
+        n = self.held[at]
+        every[hit + 1] = 1.0 / n
+        common[hit + 1] = np.where(n > RARE, 1.0 / n, 0.0)
+        rare = n <= RARE
+        hit, at, n = hit[rare], at[rare], n[rare]
+        first = (np.cumsum(self.held) - self.held)[at]
+        of = self.holders[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        pairs, which = np.unique(np.repeat(np.searchsorted(ends, hit, "right"), n) * len(self.items) + of, return_inverse=True)
+        sums = np.bincount(which, weights=np.repeat(1.0 / n, n), minlength=len(pairs))
+        return np.cumsum(every), np.cumsum(common), dict(zip(pairs.tolist(), sums.tolist()))
+
+    def retouched(self, ids: np.ndarray, ends: np.ndarray, weights_of: tuple, base: int, step: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """(document, window start, part size, item number, part start) of the item-sized windows that start in a step, within PART_RADIUS bits."""
+        weighed, common, rare = weights_of
+        if weighed[min(base + step + PART_WORDS[1] + STRIDE, len(ids))] == weighed[max(base - STRIDE, 0)]:
+            return
+        run = self.sums(ids[base : base + step + PART_WORDS[1]])
+        # A start whose largest window weighs too little for any part is none for smaller windows either.
+        every = np.arange(base, min(base + step, len(ids)), STRIDE)
+        widest = weighed[np.minimum(every + PART_WORDS[1] + STRIDE, len(ids))] - weighed[np.maximum(every - STRIDE, 0)] + 1e-6
+        every = every[widest >= min(needed.min() for *_, needed in self.parts)]
+        for size, owned, codes, needed in self.parts:
+            starts = every[every <= len(ids) - size]
+            # Rounding aside, no window's shared shingles weigh more than all that start in it.
+            lo, hi = np.maximum(starts - STRIDE, 0), np.minimum(starts + size + STRIDE - SHINGLE + 1, len(ids))
+            weights = weighed[hi] - weighed[lo] + 1e-6
+            open_ = np.flatnonzero(weights >= needed.min())
+            starts, weights, shared = starts[open_], weights[open_], (common[hi] - common[lo])[open_] + 1e-6
+            if not len(starts):
+                continue
+            windows = np.packbits(run[starts - base + size] - run[starts - base] > 0, axis=1).view(np.uint64).ravel()
+            docs_of = np.searchsorted(ends, starts + size // 2, "right")  # a window over the edge of a document is that of its middle word
+            for (n, k), code, least in zip(owned, codes, needed):
+                near = np.flatnonzero((np.bitwise_count(windows ^ code) <= PART_RADIUS) & (weights >= least))
+                for d, at, x in zip(docs_of[near].tolist(), starts[near].tolist(), shared[near].tolist()):
+                    if d < len(ends) and rare.get(d * len(self.items) + n, 0.0) + x >= least:
+                        yield d, at, size, n, k
+
+    def shared(self, ws: list[str], at: int, size: int, n: int, k: int) -> float:
+        """Share of the weighted shingles of an item's part that stand in the window, its edges moved by up to STRIDE words."""
+        part = self._shingles(n, k, size)
+        lo, hi = max(at - STRIDE, 0), min(at + size + STRIDE, len(ws))
+        both = part & {tuple(ws[p : p + SHINGLE]) for p in range(lo, hi - SHINGLE + 1)}
+        return sum(self.weight[s] for s in both) / sum(self.weight[s] for s in part)
 
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (corpus window, item window) within RADIUS bits; none is missed."""
@@ -107,8 +205,8 @@ class PassageIndex:
             items.append(item[near])
         return np.concatenate(windows), np.concatenate(items)
 
-    def verify(self, ws: list[str], at: int, item: int) -> tuple[int, int, int, float]:
-        """Item number, first word and length of the longest equal run through the aligned windows, shingle similarity."""
+    def verify(self, ws: list[str], at: int, item: int) -> tuple[int, int, int]:
+        """Item number, first word and length of the longest equal run through the aligned windows."""
         n, k = self.owner[item], self.start[item]
         other = self.items[n][1]
         lo = at - min(at, k)
@@ -121,21 +219,24 @@ class PassageIndex:
                     best, first = run, p - run + 1
             else:
                 run = 0
-        a = {tuple(other[p : p + SHINGLE]) for p in range(k, k + WINDOW - SHINGLE + 1)}
-        b = {tuple(ws[p : p + SHINGLE]) for p in range(at, at + WINDOW - SHINGLE + 1)}
-        both = sum(self.weight.get(s, 1.0) for s in a & b)
-        return n, first, best, both / (sum(self.weight.get(s, 1.0) for s in a | b) or 1.0)
+        return n, first, best
 
     def matches(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, float]]:
-        """(document number, item number, first word, run of equal words, similarity), the best of each document and item."""
+        """(document number, item number, first word, run of equal words, similarity), the best of each document and item.
+
+        The run is 0 for a passage that only its shingles show, the similarity that of the best item-sized window, 0 if none counts.
+        """
         docs = [words_of(t) for t in texts]
         if len(self.numbers) > 500_000:
             self.numbers = Numbers(self.vocab)
         flat = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(docs)), dtype=np.int32)
         ends = np.cumsum([len(ws) for ws in docs])
-        found: dict[tuple[int, int], tuple[int, int, float]] = {}
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        like: dict[tuple[int, int], tuple[float, int]] = {}
         exact: set[tuple[int, int, int]] = set()  # alignments whose run of equal words is long enough and known
         step = 100_000
+        padded = np.concatenate([flat, np.zeros(PART_WORDS[1], np.int32)])  # a passage at the end may be shorter than its item
+        weighed = self.weighed(padded, ends)
         for base in range(0, len(flat), step):
             codes = self.fingerprints(flat[base : base + step + WINDOW - 1])
             windows, items = self.candidates(codes)
@@ -147,15 +248,21 @@ class PassageIndex:
                 aligned = (d, self.owner[item], at - begin - self.start[item])
                 if aligned in exact:
                     continue
-                n, first, run, similarity = self.verify(docs[d], at - begin, item)
-                if run >= WINDOW:
-                    exact.add(aligned)
-                if run < WINDOW and similarity < SIMILARITY:
+                n, first, run = self.verify(docs[d], at - begin, item)
+                if run < WINDOW:
                     continue
+                exact.add(aligned)
                 old = found.get((d, n))
-                if old is None or (run, similarity) > (old[1], old[2]):
-                    found[d, n] = (first, run, similarity)
-        for (d, n), (first, run, similarity) in found.items():
+                if old is None or run > old[1]:
+                    found[d, n] = (first, run)
+            for d, at, size, n, k in self.retouched(padded, ends, weighed, base, step):
+                first = at - (int(ends[d]) - len(docs[d]))
+                similarity = self.shared(docs[d], first, size, n, k)
+                if similarity >= SIMILARITY and similarity > like.get((d, n), (0.0, 0))[0]:
+                    like[d, n] = (similarity, max(first, 0))
+        for d, n in found.keys() | like.keys():
+            similarity, near = like.get((d, n), (0.0, 0))
+            first, run = found.get((d, n), (near, 0))
             yield d, self.items[n][0], first, run, similarity
 
 
@@ -174,8 +281,8 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[in
 def contaminated(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, item_id, first_word, run_words, similarity): passages of items that documents hold.
 
-    One row for each document and item with a run of at least WINDOW equal consecutive words, or an aligned window
-    whose weighted shingle similarity reaches SIMILARITY. Null and empty texts match nothing; items shorter than
+    One row for each document and item with a run of at least WINDOW equal consecutive words, or an item-sized or
+    half-item-sized window that holds SIMILARITY of the part's weighted shingles; run_words is 0 for the latter alone. Null and empty texts match nothing; items shorter than
     WINDOW words have no passage; repeated rows give repeated matches once; other columns are ignored.
     """
     spark = documents.sparkSession

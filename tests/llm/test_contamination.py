@@ -75,3 +75,19 @@ def test_blocks_find_every_near_fingerprint():
         for bit in rng.sample(range(64), rng.randrange(0, 3)):
             code ^= 1 << bit
         assert k in index.candidates(np.array([code], np.uint64))[1]
+
+
+def test_retouched_passages_are_found_at_their_items_size():
+    rng = random.Random(4)
+    questions = [" ".join(rng.choices([f"cuvânt{i}" for i in range(300)], k=rng.randrange(45, 93))) for _ in range(12)]
+    other = lambda k: [f"alt{rng.randrange(500)}" for _ in range(k)]
+    touched = lambda ws: [f"{rng.randrange(9999)}" if p % 6 == 5 else w for p, w in enumerate(ws)]
+    texts, want = [], set()
+    for n, q in enumerate(questions):
+        ws = q.split()
+        for part in (ws, ws[: len(ws) // 2], ws[len(ws) // 2 :]):
+            want.add((len(texts), 100 + n))
+            texts.append(" ".join(other(rng.randrange(0, 90)) + touched(part) + other(rng.randrange(0, 90))))
+        texts.append(" ".join(rng.sample(ws, len(ws))))  # the same words in another order are no passage
+    out = list(C.PassageIndex([(100 + n, q) for n, q in enumerate(questions)]).matches(texts))
+    assert {(d, i) for d, i, *_ in out} == want and all(run == 0 and similarity >= C.SIMILARITY for *_, run, similarity in out)
