@@ -2,17 +2,27 @@
 
 Each line is brought to a masked form: look-alike characters, case, spacing and punctuation don't count, the page's own
 printed number becomes a mark and every other number a placeholder, while the numbers themselves stay aside as content.
-Within a manual, lines with the same numbers are clustered by locality-sensitive hashing of their forms (MinHash over
-letter trigrams, in bands); a cluster that stands on at least ``LEAST_PAGES`` pages is boilerplate.
+Names aren't masked: lines that differ in a name are different lines to a reader.
 
-No group of lines is ever gathered: pages are counted by partial aggregation, each hash bucket keeps only its most
-frequent form, and the other forms of the bucket are compared with that one alone.
+Within a manual, lines with the same numbers are clustered by locality-sensitive hashing of their forms:
+
+* forms of ``LONG`` letters and more by MinHash over letter trigrams, in bands; those that share a bucket with another form
+  go on to the next step, and each is compared with the most frequent form of its buckets by edit distance (one slip for
+  every ``SLIP`` letters);
+* these and all forms up to that length by the hashes of the form without any one of its letters. Two forms that are one slip apart
+  (a letter changed, missing, added, or swapped with its neighbour) always share such a bucket.
+
+Clusters are the connected components of these links; one that stands on at least ``LEAST_PAGES`` pages is boilerplate.
+
+No group of lines is ever gathered: pages are counted by partial aggregation, each bucket links its forms to one of them, and
+components come from rounds of joins until nothing changes.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +35,14 @@ from pagelode.llm.text import fold
 from pagelode.session import cut_lineage, written
 
 LEAST_PAGES = 6
-BANDS, ROWS = 16, 2
-SLIP = 12  #: letters for each of which one slip is forgiven, from the eighth on
-
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|(?<![^\W_])[ivxlcdm]+(?![^\W_])")
-_KEPT = re.compile(r"[^a-z0#\u0080-\U0010ffff]+|[\u0080-¿ -⯿　-〿�]+")
+BANDS, ROWS = 16, 3
+LONG = 24  #: letters from which forms are hashed by trigrams
+SLIP = 12  #: letters of a long form for each of which one slip is forgiven
+SHORT = 5  #: letters of the shortest form that may lose one in a slip
+
+_TOKEN = re.compile(r"[\divxlc](?:(?<=\d)\d*(?:[.,:/]\d+)*|(?<![^\W_][ivxlc])[ivxlc]*(?![^\W_]))")
+_DROPPED = bytes(c for c in range(128) if not (97 <= c <= 122 or c in b"0#"))
+_SIGNS = re.compile("[\u0080-\u00bf\u2010-\u2bff\u3000-\u303f\ufffd]+")
 _ROMAN = ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
 
 
@@ -41,21 +54,37 @@ def roman(n: int) -> str:
     return out
 
 
+#: Only a well-formed numeral is a number; a single c or l is rather a letter, or what a slip left of a word.
+ROMAN = frozenset(map(roman, range(1, 400))) - {"c", "l"}
+
+
+@lru_cache(maxsize=100_000)
+def own_numbers(page: int | None, offset: int | None) -> frozenset[str]:
+    """How a page's own number may be printed."""
+    if page is None:
+        return frozenset()
+    if offset is None:
+        return frozenset((str(page), roman(page)))
+    return frozenset((str(page - offset) if page > offset else roman(page),))
+
+
 def masked(text: str, page: int | None, offset: int | None) -> tuple[str, str]:
     """The form of a line and its numbers, of which the page's own printed one is only a mark in the form."""
     numbers: list[str] = []
-    own = set()
-    if page is not None:
-        printed = page - (offset or 0)
-        own = {str(page), roman(page)} if offset is None else {str(printed)} if printed > 0 else {roman(page)}
+    own = own_numbers(page, offset)
 
     def mask(m: re.Match) -> str:
-        if m[0] in own:
+        token = m[0]
+        if token in own:
             return "#"
-        numbers.append(m[0])
+        if token[0] in "ivxlc" and token not in ROMAN:
+            return token
+        numbers.append(token)
         return "0"
 
-    form = _KEPT.sub("", _TOKEN.sub(mask, fold(strict_decode(text))))
+    form = _TOKEN.sub(mask, fold(strict_decode(text))).encode("utf-8", "replace").translate(None, _DROPPED).decode()
+    if not form.isascii():
+        form = _SIGNS.sub("", form)
     return form or re.sub(r"\s+", "", text), " ".join(numbers)
 
 
@@ -75,7 +104,10 @@ FORMS = "manual_id string, page_id string, line_id string, form string, content
 
 
 def masked_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """Rows (manual_id, page_id, line_id, form, content) of all lines with text; ``content`` is a hash of the manual and the numbers."""
+    """Rows (manual_id, page_id, line_id, form, content, fid) of all lines with text.
+
+    ``content`` is a hash of the manual and the numbers, ``fid`` one of the form: within a manual, 64 bits each.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -86,7 +118,8 @@ def masked_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
             )
 
     text = lines.where(F.col("text").rlike(r"[^\s\x{a0}]")).select("manual_id", "page_id", "line_id", "text", "pdf_page_number")
-    return text.join(page_offsets(pages), "manual_id", "left").select("manual_id", "page_id", "line_id", "text", "pdf_page_number", "offset").mapInArrow(scan, FORMS)
+    scanned = text.join(page_offsets(pages), "manual_id", "left").select("manual_id", "page_id", "line_id", "text", "pdf_page_number", "offset").mapInArrow(scan, FORMS)
+    return scanned.withColumn("fid", F.xxhash64("form"))
 
 
 def _min_hashes(forms: list[str]) -> np.ndarray:
@@ -111,59 +144,117 @@ def _min_hashes(forms: list[str]) -> np.ndarray:
     return out
 
 
-def _banded(forms: DataFrame) -> DataFrame:
-    schema = "content bigint, form string, n_pages bigint, band int, bucket bigint"
+_POWER = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_POWER), -1, 2**64))
+
+
+def _without_one(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the form, hash) of each form and of each form without one letter; marks and placeholders of numbers stay.
+
+    Forms of fewer than SHORT letters have only the first. A form's hash is the sum of its letters' hashes times the powers of an odd number, so that a letter's removal shifts the
+    rest by one power.
+    """
+    sizes = np.array([len(f) for f in forms])
+    flat = np.frombuffer("".join(forms).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    letters = (flat + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    letters ^= letters >> np.uint64(31)
+    letters *= np.uint64(0x94D049BB133111EB)
+    letters ^= letters >> np.uint64(29)
+    powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(int(sizes.max(initial=0)), _POWER))), dtype=np.uint64)
+    owner = np.repeat(np.arange(len(forms)), sizes)
+    first = np.cumsum(sizes) - sizes
+    terms = letters * powers[np.arange(len(flat)) - first[owner]]
+    run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+    start, whole = run[first], run[first + sizes] - run[first]
+    before = run[:-1] - start[owner]
+    left = before + (whole[owner] - before - terms) * _INVERSE
+    kept = (flat != ord("#")) & (flat != ord("0"))
+    kept &= np.bincount(owner[kept], minlength=len(forms))[owner] >= SHORT
+    hashes = np.concatenate((whole, left[kept]))
+    return np.concatenate((np.arange(len(forms)), owner[kept])), hashes ^ (hashes >> np.uint64(32))
+
+
+def _keyed(forms: DataFrame, long: bool) -> DataFrame:
+    """Rows (content, fid, n_pages, key): the buckets of forms, MinHash bands of long ones or hashes without one letter."""
+    schema = "content bigint, fid bigint, n_pages bigint, key bigint"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            hashes = _min_hashes(b.column(1).to_pylist()).view(np.int64)
-            for band in range(BANDS):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, band, np.int32)), pa.array(hashes[band])], names=[x.split()[0] for x in schema.split(", ")])
-
-    return forms.select("content", "form", "n_pages").mapInArrow(scan, schema)
-
-
-def _allowed() -> Column:
-    return F.when(F.length("form") < 8, 0).otherwise(F.greatest(F.lit(1), F.floor(F.length("form") / SLIP))).cast("int")
+            texts = b.column(3).to_pylist()
+            if long:
+                hashes = _min_hashes(texts) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)[:, None]
+                owner, keys = np.tile(np.arange(len(texts)), BANDS), hashes.ravel()
+            else:
+                owner, keys = _without_one(texts)
+            taken = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(taken) for k in range(3)), pa.array(keys.view(np.int64))], names=["content", "fid", "n_pages", "key"])
+
+    return forms.select("content", "fid", "n_pages", "form").mapInArrow(scan, schema)
+
+
+def _leads(keyed: DataFrame) -> DataFrame:
+    """Distinct (content, fid, lead): each form of a bucket with the bucket's most frequent one."""
+    leaders = keyed.groupBy("content", "key").agg(F.max(F.struct("n_pages", "fid")).alias("l"), F.min("fid").alias("a"), F.max("fid").alias("b")).where("a <> b").select("content", "key", F.col("l.fid").alias("lead"))
+    return keyed.join(leaders, ["content", "key"]).where("fid <> lead").select("content", "fid", "lead").distinct()
+
+
+def links(forms: DataFrame) -> DataFrame:
+    """Distinct (content, fid, lead): forms that are the same line but for slips. ``forms`` has (content, fid, form, n_pages)."""
+    letters = F.length(F.translate("form", "#0", ""))
+    long = F.length("form") >= LONG
+    near = cut_lineage(_leads(_keyed(forms.where(long), True)))
+    ends = near.select("content", "fid").union(near.select("content", F.col("lead").alias("fid"))).distinct()
+    one = _leads(cut_lineage(_keyed(forms.where((F.length("form") <= LONG) & (letters >= SHORT - 1)).unionByName(forms.join(ends, ["content", "fid"], "leftsemi")), False)))
+    texts = forms.select("content", "fid", "form")
+    both = near.join(texts, ["content", "fid"]).join(texts.select("content", F.col("fid").alias("lead"), F.col("form").alias("other")), ["content", "lead"])
+    both = both.withColumn("slips", F.floor(F.length("form") / SLIP).cast("int")).where(F.abs(F.length("form") - F.length("other")) <= F.col("slips"))
+    mark = lambda c: F.concat(F.substring(c, 1, 1) == "#", F.substring(c, -1, 1) == "#")  # noqa: E731  a number before isn't one behind
+    slipped = both.where((mark("form") == mark("other")) & F.expr("levenshtein(form, other, slips) >= 0"))
+    return one.union(slipped.select("content", "fid", "lead")).distinct()
 
 
-def clusters(forms: DataFrame) -> DataFrame:
-    """Rows (content, form, cluster) of the forms that join a more frequent form's cluster.
+def components(edges: DataFrame) -> DataFrame:
+    """(content, fid, root): of each form with a link the least form that links lead to.
 
-    ``forms`` has (content, form, n_pages), each form once. Every bucket of two forms or more takes part: a cluster is the
-    union of links from different buckets, so none of its buckets need hold pages enough by itself.
+    Rounds of large and small stars (each form's neighbours above it, then below it, are linked to the least of them) until
+    nothing changes.
     """
-    banded = cut_lineage(_banded(forms))
-    key = F.xxhash64("content", "band", "bucket")
-    leaders = banded.groupBy(key.alias("key")).agg(F.max(F.struct("n_pages", "form")).alias("lead"), F.count("*").alias("n")).where(F.col("n") > 1).select("key", "lead")
-    about = F.abs(F.length("form") - F.length("lead.form")) <= _allowed()
-    pairs = banded.withColumn("key", key).join(leaders, "key").where((F.col("form") != F.col("lead.form")) & about).select("content", "form", "lead").distinct()
-    mark = lambda c: F.concat(F.substring(c, 1, 1) == "#", F.substring(c, -1, 1) == "#")  # noqa: E731  a number before isn't one behind
-    near = F.levenshtein("form", "lead.form", 40).between(0, _allowed()) & (mark("form") == mark("lead.form"))
-    best = pairs.where(near).groupBy("content", "form").agg(F.max("lead").alias("lead"))
-    links = cut_lineage(best.select("content", "form", F.col("lead.form").alias("cluster")))
-    for _ in range(2):  # a leader may itself have joined a more frequent one
-        up = links.select("content", F.col("form").alias("cluster"), F.col("cluster").alias("next"))
-        links = links.join(up, ["content", "cluster"], "left").select("content", "form", F.coalesce("next", "cluster").alias("cluster"))
-    return links
+    edges = cut_lineage(edges.select("content", F.greatest("fid", "lead").alias("u"), F.least("fid", "lead").alias("v")).distinct())
+    while True:
+        around = edges.union(edges.select("content", F.col("v").alias("u"), F.col("u").alias("v")))
+        least = around.groupBy("content", "u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = around.join(least, ["content", "u"]).where("v > u").select("content", F.col("v").alias("u"), F.col("m").alias("v"))
+        below = large.groupBy("content", "u").agg(F.min("v").alias("m"))
+        small = large.join(below, ["content", "u"]).select("content", F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v")
+        new = cut_lineage(small.distinct())
+        same = new.join(edges, ["content", "u", "v"], "leftsemi").count()
+        done = same == new.count() == edges.count()
+        edges = new
+        if done:
+            return edges.select("content", F.col("u").alias("fid"), F.col("v").alias("root")).union(edges.select("content", F.col("v").alias("fid"), F.col("v").alias("root"))).distinct()
 
 
 def repeated_lines(lines: DataFrame, pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
     """Rows (manual_id, page_id, line_id, cluster): the lines that stand on at least ``least`` pages of their manual.
 
-    Null and blank lines never count; rows sent twice and several copies on one page count as one page; lines without
-    a manual are left out; a manual without pages rows has the page's number or its Roman form as its own. Other columns are
-    ignored.
+    ``cluster`` is the most frequent form. Null and blank lines never count; rows sent twice and several copies on one page
+    count as one page; lines without a manual are left out; a manual without pages rows has the page's number or its Roman
+    form as its own. Two forms of fewer than ``SHORT`` letters forgive no slip. Other columns are ignored.
     """
     folded = written(masked_lines(lines.where(F.col("manual_id").isNotNull()), pages))
     spread = folded.select("content", "page_id").distinct().groupBy("content").count().where(F.col("count") >= least).select("content")
-    open_ = folded.join(spread, "content", "leftsemi")
-    forms = open_.select("content", "form", "page_id").distinct().groupBy("content", "form").agg(F.count("*").alias("n_pages"))
-    joined = open_.join(clusters(forms), ["content", "form"], "left").withColumn("cluster", F.coalesce("cluster", "form"))
-    wide = joined.select("content", "cluster", "page_id").distinct().groupBy("content", "cluster").count().where(F.col("count") >= least).select("content", "cluster")
-    return joined.join(wide, ["content", "cluster"]).select("manual_id", "page_id", "line_id", "cluster").distinct()
+    standing = cut_lineage(folded.select("content", "fid", "form", "page_id").join(spread, "content", "leftsemi").distinct())
+    forms = cut_lineage(standing.groupBy("content", "fid", "form").agg(F.count("*").alias("n_pages")))
+    linked = components(links(forms))
+    rooted = cut_lineage(linked.join(forms, ["content", "fid"]))
+    named = rooted.groupBy("content", "root").agg(F.max_by("form", F.struct("n_pages", "form")).alias("cluster"))
+    held = standing.select("content", "fid", "page_id").join(rooted.select("content", "fid", "root"), ["content", "fid"]).select("content", "root", "page_id").distinct()
+    wide = held.groupBy("content", "root").count().where(F.col("count") >= least).join(named, ["content", "root"]).join(rooted.select("content", "root", "fid"), ["content", "root"])
+    alone = forms.where(F.col("n_pages") >= least).join(rooted.select("content", "fid"), ["content", "fid"], "left_anti")
+    found = cut_lineage(wide.select("content", "fid", "cluster").union(alone.select("content", "fid", "form")))
+    return folded.select("manual_id", "page_id", "line_id", "content", "fid").join(found, ["content", "fid"]).select("manual_id", "page_id", "line_id", "cluster").distinct()
 
 
 def without_repeated(lines: DataFrame, found: DataFrame) -> DataFrame:

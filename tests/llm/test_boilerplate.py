@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
+import pytest
+
 from pagelode.llm import boilerplate as B
 
 LINE = "manual_id string, page_id string, pdf_page_number int, line_id string, text string, form string, content string"
@@ -31,6 +36,72 @@ def test_slips_of_one_line_need_no_common_bucket(spark):
     assert found(spark, [x for x in slips if x[1] < 6]) == []
 
 
+def slipped(rng, line, at):
+    kind = rng.randrange(4)
+    letter = rng.choice("bdfghjkmnpqrtwyz")
+    if kind == 0:
+        return line[:at] + letter + line[at + 1 :]
+    if kind == 1:
+        return line[:at] + line[at + 1 :]
+    return line[:at] + letter + line[at:] if kind == 2 else line[:at] + line[at + 1 : at + 2] + line[at] + line[at + 2 :]
+
+
+def test_recall_of_slips_at_every_length(spark):
+    """40 manuals a cell, each with the right line on some pages and the line with one slip each on others."""
+    rng = random.Random(12)
+    cells = [(size, right, wrong) for size in (31, 24, 17, 13, 5) for right, wrong in ((3, 3), (4, 2), (5, 1), (1, 5), (2, 6))]
+    lines = []
+    for cell in cells:
+        for n in range(40):
+            size, right, wrong = cell
+            line = "".join(rng.choices("abdefghjkmnopqrstuwyz", k=size))
+            pages = rng.sample(range(1, 14), right + wrong)
+            texts = [line] * right + [slipped(rng, line, rng.randrange(size)) for _ in range(wrong)]
+            lines += [(f"{cell} {n}", p, t) for p, t in zip(pages, texts)]
+    df, pages = manual(spark, lines)
+    got = Counter(r["manual_id"] for r in B.repeated_lines(df, pages).collect())
+    for cell in cells:
+        assert sum(got[f"{cell} {n}"] == cell[1] + cell[2] for n in range(40)) >= 38, cell
+
+
+def test_slips_beside_a_more_frequent_line_of_the_same_frame(spark):
+    frame = lambda w: f"Arătați că {w} este bine definită pe mulțimea dată"
+    line = frame("derivata")
+    lines = [("m", p, frame("integrala")) for p in range(1, 13)] + [("m", 1, line)] + [("m", p, line[:k] + line[k + 1 :]) for p, k in zip(range(2, 8), (1, 9, 14, 22, 30, 41))]
+    assert found(spark, lines) == list(range(19))
+
+
+def test_components_equal_union_find(spark):
+    rng = random.Random(5)
+    edges = [(c, *sorted(rng.sample(range(-40, 40), 2))) for c in (1, 2) for _ in range(45)] + [(3, n, n + 1) for n in range(40)]
+    root = {(c, n): n for c, *ends in edges for n in ends}
+
+    def find(c, n):
+        while root[c, n] != n:
+            n = root[c, n]
+        return n
+
+    for c, a, b in edges:
+        a, b = sorted((find(c, a), find(c, b)))
+        root[c, b] = a
+    df = spark.createDataFrame(edges, "content bigint, fid bigint, lead bigint")
+    assert {(r["content"], r["fid"]): r["root"] for r in B.components(df).collect()} == {(c, n): find(c, n) for c, n in root}
+    assert B.components(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, form, numbers", [("Un oraș mic civil, vid", "unorasmiccivilvid", ""), ("Capitolul XIV, anul 2021", "capitolul0anul0", "xiv 2021"), ("pagina 7", "pagina#", ""), ("IIII", "iiii", "")])
+def test_only_numerals_are_numbers(text, form, numbers):
+    assert B.masked(text, 9, 2) == (form, numbers)
+
+
+def test_hashes_without_one_letter():
+    forms = ["gratuit", "gratit", "x", "", "abcde#0", "abcd"]
+    owner, hashes = B._without_one(forms)
+    by = [{int(h) for o, h in zip(owner, hashes) if o == k} for k in range(len(forms))]
+    assert len(by[0]) == 8 and len(by[4]) == 6 and len(by[5]) == 1 and int(hashes[1]) in by[0]
+    assert by[0] & {int(h) for h in B._without_one(["gratiut"])[1]} and not by[0] & by[2]
+
+
 def test_five_pages_or_one_page_are_not_enough(spark):
     assert found(spark, [("m", p, NOTICE) for p in range(1, 6)] + [("n", 1, NOTICE)]) == []
     assert found(spark, [("m", 1, NOTICE)] * 9) == []
