@@ -2,8 +2,9 @@
 
 The skeleton of a text: decompose it, replace every character by its prototype from the look-alike table, decompose again.
 Texts with equal skeletons look the same; the skeleton, composed, is the one consistent form of them all. A letter of
-another alphabet is replaced only in a word in which every letter of that alphabet looks Latin, so whole foreign words and
-the Greek signs of mathematics stay.
+another alphabet is replaced only in a word whose other letters are Latin or look Latin too, but for fewer foreign ones than
+there are Latin ones, so whole foreign words and the Greek signs of mathematics stay. Styled letters of mathematics are
+plain letters, but for script, Fraktur and double-struck ones, which mean something else.
 """
 
 from __future__ import annotations
@@ -16,30 +17,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.mojibake import Decoder
-from pagelode.llm.text import LOOKALIKES, MARKS
+from pagelode.llm.mojibake import shared_decoder
+from pagelode.llm.text import FOREIGN, LOOKALIKES
 
 SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 HYPHENS = "\u2010\u2011\ufe63\uff0d"
 INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff\U000e0000-\U000e007f"
 _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
-_WIDE = re.compile("[\uff01-\uffee\ufb00-\ufb06\ufb13-\ufb17]")
+#: Letters, digits and numerals that are ordinary ones in another width or style: their compatibility form is the ordinary one.
+STYLED = "\uff01-\uffee\ufb00-\ufb06\ufb13-\ufb17\u2160-\u217f\U0001d400-\U0001d49b\U0001d5a0-\U0001d6a3\U0001d7ce-\U0001d7d7\U0001d7e2-\U0001d7ff"
+_WIDE = re.compile(f"[{STYLED}]")
 _PLAIN = {ord(c): " " for c in SPACES} | {ord(c): "-" for c in HYPHENS}
 _CEDILLA = re.compile("([sStT])\u0327")
 _WORD = re.compile("[^\\W\\d_\u0300-\u036f](?:[\u0300-\u036f]*[^\\W\\d_])*")
-_FOREIGN = re.compile("[\u0370-\u052f]")
 _SMALL_GREEK = re.compile("[\u03b1-\u03c9]+")
-#: Only a text with one of these characters can differ from its consistent form (the same class for Java and Python).
-CANDIDATE = (
-    f"[{SPACES}{HYPHENS}{INVISIBLE.replace(chr(0xE0000) + '-' + chr(0xE007F), '')}"
-    + "\u0300-\u036f\uff01-\uffee\ufb00-\ufb06\ufb13-\ufb17\u0162\u0163\u015e\u015f\u212a\u212b\u2126\u0400-\u052f" + "".join(k for k in LOOKALIKES if k < "\u0400") + "]"
-)
+#: Only a text with one of these characters can differ from its consistent form.
+CANDIDATES = f"[{SPACES}{HYPHENS}{INVISIBLE}{STYLED}\u0300-\u036f\u0162\u0163\u015e\u015f\u212a\u212b\u2126\u0400-\u058f\u13a0-\u13ff" + "".join(k for k in LOOKALIKES if k < "\u0400") + "]"
+CANDIDATE = f"[\\x{{80}}-\\x{{10ffff}}&&{CANDIDATES}]"  #: the same for Java, where ASCII is ruled out by one comparison
 
 
 def _latin(match: re.Match) -> str:
     word = match[0]
-    foreign = _FOREIGN.findall(word)
-    if not foreign or any(c not in LOOKALIKES for c in foreign) or _SMALL_GREEK.fullmatch(word):
+    foreign = FOREIGN.findall(word)
+    other = sum(c not in LOOKALIKES for c in foreign)
+    if other == len(foreign) or _SMALL_GREEK.fullmatch(word):
+        return word
+    if other and sum(map(str.isalpha, word)) - len(foreign) <= other:
         return word
     return "".join(LOOKALIKES.get(c, c) for c in word)
 
@@ -52,7 +55,7 @@ def skeleton(text: str) -> str:
     if _WIDE.search(out):
         out = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), out)
     out = unicodedata.normalize("NFD", out)  # a mark that followed an invisible or wide character joins its letter
-    if _FOREIGN.search(out):
+    if FOREIGN.search(out):
         out = _WORD.sub(_latin, out)
     return unicodedata.normalize("NFD", _CEDILLA.sub("\\1\u0326", out))
 
@@ -73,7 +76,7 @@ def consistent(records: DataFrame, keys: list[str], text: str, words: dict[str,
     schema = pa.schema([(k, pa.string()) for k in [*keys, "text", "skeleton", "ordinary"]] + [("misread", pa.bool_())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = shared_decoder(shared)
         for b in batches:
             rows = []
             for *key, t in zip(*(c.to_pylist() for c in b.columns)):

@@ -2,9 +2,11 @@
 
 Noisy-channel decoding. Each channel is one way in which text gets damaged: UTF-8 bytes read in an 8-bit code page
 (once or twice), or an old font's code page read as Latin-1. For every word a byte lattice holds, for each channel, the
-characters that its bytes can have been, with a wildcard where a byte was lost (U+FFFD). A Viterbi search over the words
-of the text picks the channel of each word under the corpus's word frequencies, with a cost for changing channel, so that
-a foreign word that is right stays as it is.
+characters that its bytes can have been, with a wildcard where a byte was lost (U+FFFD). A Viterbi search finds the best
+path through each lattice, from letter run to letter run, under the corpus's word frequencies: of a run's readings only
+beginnings of known words are followed, so the number of wildcards doesn't matter; a lost letter that no known word tells
+stays marked. A second search over the words of the text picks the channel of each word, with a cost for changing channel,
+so that a foreign word that is right stays as it is.
 
 Word frequencies are counted over all texts. The lexicon sent to the executors holds the words that at least
 ``LEXICON_SHARE`` of the texts hold: at most (mean words of a text / LEXICON_SHARE) words whatever the corpus's size.
@@ -15,8 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache, reduce
-from itertools import product
+from functools import cached_property, lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,15 +29,17 @@ CHANGE_COST = 1.0  #: of another channel than the word before
 CHANNEL_COST = 0.7  #: of a word that isn't taken as it stands
 CAPITAL_COST = 0.3  #: of each capital letter that a reading brings in
 STRICT_GAIN = 3.0  #: for each whole UTF-8 sequence, which chance hardly makes
-WILD_MOST = 4096  #: readings of a word with lost bytes that are weighed; beyond, lost bytes stay marked
 
-CODE_PAGES = ("cp1252", "cp1250", "iso8859-2", "mac_roman", "cp850", "cp437", "cp852")
+CODE_PAGES = ("cp1252", "cp1250", "iso8859-2", "mac_roman", "cp850", "cp437", "cp852", "cp1251", "koi8-r", "cp1253")
+OTHER_ALPHABETS = ("cp1251", "koi8-r", "cp1253")  #: their letters are right in foreign words: only USUAL characters are read from them
 # What old fonts and code pages show for Romanian letters.
 OLD_FONT = {"ã": "ă", "Ã": "Ă", "þ": "ț", "Þ": "Ț", "º": "ș", "ª": "Ș"}
 OLD_FONT_2 = OLD_FONT | {"æ": "ț", "Æ": "Ț", "ç": "ș", "Ç": "Ș"}
 # Characters that a sequence with a lost byte may have been.
 WILD_TARGETS = "ăâîșțĂÂÎȘȚ„”–—…’·²³°º→∈√∫∪≤≥ΔΣΠαβγδθλμπφω"
 
+USUAL = frozenset(WILD_TARGETS + "şţŞŢ“‘’•«»\u00a0")
+
 _C1 = {chr(b): bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)}
 
 
@@ -53,9 +56,12 @@ BYTES = {page: _bytes_of(page) for page in CODE_PAGES} | {"latin-1": {chr(b): b
 LOST = "�"
 #: A text without any of these characters has nothing to decode (the same class for Java and Python).
 _ALONE = "[\\u0080-\\u009f¡-±´-¶¸-ÁÃ-ÍÏ-áã-íï-ÿƒŒœŠšŽžŸČčĎďŁłŤąˆ˜˘ˇ˛‘’“†‡•‰‹›€™\\u2500-\\u259f]"
-_PAIRS = "[ÂÎĂ][\\u00a0²³·”„–—…\\ufffd]|â\\ufffd"
-SUSPICIOUS = f"{_ALONE}|{_PAIRS}"
-_SEEN_ALONE, _SEEN_LEADS, _SEEN_PAIRS = re.compile(_ALONE).search, re.compile("[ÂÎĂ\ufffd]").search, re.compile(_PAIRS).search
+# First bytes of UTF-8 sequences as Windows' Cyrillic page shows them, and the bytes after (but for quotes, dots and dashes).
+_CYRILLIC_TRAILS = "".join(c for b in range(0x80, 0xC0) if (c := bytes([b]).decode("cp1251", "ignore")) and c not in "„…–—”’“‘«»")
+_PAIRS = f"[ÂÎĂ][\\u00a0²³·”„–—…\\ufffd]|â\\ufffd|[ГДЕИв][{_CYRILLIC_TRAILS}]"
+#: The same for Java, where a character below U+0080 is ruled out by one comparison.
+SUSPICIOUS = f"[\\x{{80}}-\\x{{10ffff}}&&{_ALONE}]|{_PAIRS}"
+_SEEN_ALONE, _SEEN_LEADS, _SEEN_PAIRS = re.compile(_ALONE).search, re.compile("[ÂÎĂ\ufffdГДЕИв]").search, re.compile(_PAIRS).search
 
 
 def suspicious(text: str) -> bool:
@@ -65,6 +71,7 @@ def suspicious(text: str) -> bool:
 
 _LETTER = r"[^\W\d_²³¹⁰-₉¼-¾]"
 UNITS = re.compile(rf"{_LETTER}*(?:�{_LETTER}*)+|{_LETTER}+|[^\x00-\x7f]")
+_IS_LETTER = re.compile(_LETTER).match
 _SIGN_LOST = re.compile(r"(?:^|(?<=[^\w�]))â�")  #: no word begins with â: it was the first byte of a sign
 _MODERN = str.maketrans("şţŞŢ", "șțȘȚ")
 _WILD = [(c.encode(), c) for c in WILD_TARGETS]
@@ -88,7 +95,11 @@ def lattice(word: str, page: str) -> tuple[list[tuple[str, ...]], int, int] | No
                 if -1 not in rest:
                     try:
                         c = bytes([lead, *rest]).decode()
-                        if c < "\u0250" or "\u0370" <= c <= "\u04ff" or "\u1e00" <= c <= "\u22ff" or c in "\ufeff\ufffd\ufb01\ufb02":  # else chance: no text here has such letters
+                        if page in OTHER_ALPHABETS:
+                            usual = c in USUAL
+                        else:
+                            usual = c < "\u0250" or "\u0370" <= c <= "\u04ff" or "\u1e00" <= c <= "\u22ff" or c in "\ufeff\ufffd\ufb01\ufb02"
+                        if usual:  # else chance: texts of Latin, Greek and Cyrillic letters and signs are expected
                             out.append((c,))
                             strict += 1
                             i += n
@@ -105,31 +116,25 @@ def lattice(word: str, page: str) -> tuple[list[tuple[str, ...]], int, int] | No
     return (out, strict, wild) if strict or wild else None
 
 
-def _readings(word: str) -> Iterator[tuple[str, str, float]]:
-    """(channel, reading, gain) of a word, but for the word as it stands."""
-    for page in BYTES:
-        if (found := lattice(word, page)) is None:
-            continue
-        parts, strict, wild = found
-        if math.prod(map(len, parts)) > WILD_MOST:
-            parts = [p if len(p) == 1 else (LOST,) for p in parts]
-        for reading in map("".join, product(*parts)):
-            yield page, reading, STRICT_GAIN * strict - CAPITAL_COST * sum(c > "\x7f" and c.isupper() for c in reading)
-            if page == "cp1252" and (again := lattice(reading, page)) and (again[1] or again[2]) and math.prod(map(len, again[0])) <= 64:
-                for second in map("".join, product(*again[0])):
-                    yield "cp1252 twice", second, STRICT_GAIN * (strict + again[1])
-    if _SIGN_LOST.search(word):
-        yield "cp1252", _SIGN_LOST.sub(LOST, word), STRICT_GAIN
-    for name, table in (("control", _C1), ("old font", OLD_FONT | _C1), ("old font 2", OLD_FONT_2 | _C1)):
-        reading = "".join(table.get(c, c) for c in word)
-        if reading != word:
-            yield name, reading, 0.0
+def _better(a: tuple[float, tuple] | None, b: tuple[float, tuple]) -> tuple[float, tuple]:
+    return b if a is None or b[0] > a[0] else a
+
+
+_LAST: list[Decoder] = []
+
+
+def shared_decoder(shared) -> Decoder:
+    """The decoder of a broadcast lexicon, made once in each Python worker."""
+    if not _LAST or _LAST[0].lexicon is not shared.value:
+        _LAST[:] = [Decoder(shared.value)]
+    return _LAST[0]
 
 
 class Decoder:
     """Decodes texts under word frequencies."""
 
     def __init__(self, lexicon: dict[str, int]):
+        self.lexicon = lexicon
         total = sum(lexicon.values()) + 1.0
         self.score = {w: math.log(n / total) for w, n in lexicon.items()}
         self.unknown = math.log(0.3 / total)
@@ -139,13 +144,84 @@ class Decoder:
         get, unknown = self.score.get, self.unknown
         return sum(get(u, unknown) for u in UNITS.findall(word.translate(_MODERN).lower()))
 
+    @cached_property
+    def beginnings(self) -> frozenset[str]:
+        return frozenset(w[:k] for w in self.score for k in range(1, len(w) + 1))
+
+    def best(self, parts: list[tuple[str, ...]], capital: float = CAPITAL_COST) -> tuple[float, str]:
+        """The likeliest reading of a lattice, less ``capital`` for each capital letter that isn't ASCII."""
+        if all(len(p) == 1 for p in parts):
+            reading = "".join(p[0] for p in parts)
+            return self.likelihood(reading) - capital * sum(c > "\x7f" and c.isupper() for c in reading), reading
+        cost = lambda c: capital * (c > "\x7f" and c.isupper())
+        letters = [tuple(c for c in p if c == LOST or _IS_LETTER(c)) for p in parts]
+        signs = [tuple(c for c in p if c != LOST and not _IS_LETTER(c)) for p in parts]
+        n = len(parts)
+        # Best (value, trail) up to each place, the last character a sign (or none) and a letter: runs of letters never touch.
+        after_sign: list[tuple[float, tuple] | None] = [(0.0, ())] + [None] * n
+        after_run: list[tuple[float, tuple] | None] = [None] * (n + 1)
+        for i in range(n):
+            ends = [x for x in (after_sign[i], after_run[i]) if x is not None]
+            if ends and signs[i]:
+                value, trail = max(ends, key=lambda x: x[0])
+                gain, c = max((-cost(c) + (self.score.get(c, self.unknown) if c > "\x7f" else 0.0), c) for c in signs[i])
+                after_sign[i + 1] = _better(after_sign[i + 1], (value + gain, (trail, c)))
+            if after_sign[i] is None or not letters[i]:
+                continue
+            value, trail = after_sign[i]
+            known = {"": (0.0, "")}  # beginnings of known words, with their cost and reading
+            unknown, plain = self.unknown, ""
+            for j in range(i, n):
+                if not letters[j]:
+                    break
+                longer: dict[str, tuple[float, str]] = {}
+                for key, (spent, reading) in known.items():
+                    for c in letters[j]:
+                        k = key + c.translate(_MODERN).lower()
+                        if k in self.beginnings and ((old := longer.get(k)) is None or old[0] < spent - cost(c)):
+                            longer[k] = (spent - cost(c), reading + c)
+                known = longer
+                only = letters[j][0] if len(letters[j]) == 1 else LOST
+                unknown, plain = unknown - cost(only), plain + only
+                if j + 1 == n or signs[j + 1]:
+                    after_run[j + 1] = _better(after_run[j + 1], (value + unknown, (trail, plain)))
+                    for key, (spent, reading) in known.items():
+                        if key in self.score:
+                            after_run[j + 1] = _better(after_run[j + 1], (value + spent + self.score[key], (trail, reading)))
+        value, trail = max((x for x in (after_sign[n], after_run[n]) if x is not None), key=lambda x: x[0])
+        out = []
+        while trail:
+            trail, c = trail
+            out.append(c)
+        return value, "".join(reversed(out))
+
+    def _readings(self, word: str) -> Iterator[tuple[str, str, float]]:
+        """(channel, reading, value) of a word, but for the word as it stands."""
+        for page in BYTES:
+            if (found := lattice(word, page)) is None:
+                continue
+            parts, strict, _ = found
+            value, reading = self.best(parts)
+            yield page, reading, value + STRICT_GAIN * strict
+            if page == "cp1252":
+                once = "".join(p[0] if len(p) == 1 else LOST for p in parts)
+                if again := lattice(once, page):
+                    value, reading = self.best(again[0], 0.0)
+                    yield "cp1252 twice", reading, value + STRICT_GAIN * (strict + again[1])
+        if _SIGN_LOST.search(word):
+            reading = _SIGN_LOST.sub(LOST, word)
+            yield "cp1252", reading, self.likelihood(reading) + STRICT_GAIN
+        for name, table in (("control", _C1), ("old font", OLD_FONT | _C1), ("old font 2", OLD_FONT_2 | _C1)):
+            reading = "".join(table.get(c, c) for c in word)
+            if reading != word:
+                yield name, reading, self.likelihood(reading)
+
     def _options(self, word: str) -> dict[str, tuple[float, str]]:
         """The best reading of a word by each channel; '' is the word as it stands."""
         out = {"": (self.likelihood(word), word)}
-        for channel, reading, gain in _readings(word):
-            value = self.likelihood(reading) + gain - CHANNEL_COST
-            if channel not in out or value > out[channel][0]:
-                out[channel] = (value, reading)
+        for channel, reading, value in self._readings(word):
+            if channel not in out or value - CHANNEL_COST > out[channel][0]:
+                out[channel] = (value - CHANNEL_COST, reading)
         return out
 
     def decode(self, text: str) -> tuple[str, tuple[str, ...]]:
@@ -191,13 +267,17 @@ _FONT = str.maketrans(OLD_FONT)
 
 
 def lexicon(texts: list[DataFrame]) -> dict[str, int]:
-    """Words and signs that at least LEXICON_SHARE of all texts hold, with how many hold them. Each frame has one text column."""
-    unit = r"\p{L}+|[^\p{L}\x00-\x7f]"
+    """Words and signs with how many texts hold them, of tokens (words with the signs about them) apart; those that at least
+    LEXICON_SHARE of all texts hold. Each frame has one text column.
+
+    Texts are split at ASCII blanks and signs and their tokens counted; only the distinct tokens are taken apart.
+    """
     every = reduce(DataFrame.unionAll, [d.toDF("text") for d in texts]).where(F.col("text").isNotNull())
     n = every.count()
-    modern = F.translate(F.lower("text"), "şţ", "șț")
-    units = every.select(F.explode(F.array_distinct(F.regexp_extract_all(modern, F.lit(unit), 0))).alias("u"))
-    return {r[0]: r[1] for r in units.groupBy("u").count().where(F.col("count") >= max(LEXICON_LEAST, n * LEXICON_SHARE)).collect()}
+    tokens = every.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x00-`{-\x7f]+"))).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    units = tokens.select(F.explode(F.array_distinct(F.regexp_extract_all(F.translate("t", "şţ", "șț"), F.lit(r"\p{L}+|[^\p{L}\x00-\x7f]"), 0))).alias("u"), "n")
+    counted = units.groupBy("u").agg(F.sum("n").alias("n"))
+    return {r[0]: r[1] for r in counted.where(F.col("n") >= max(LEXICON_LEAST, n * LEXICON_SHARE)).collect()}
 
 
 def decoded(records: DataFrame, words: dict[str, int], keys: list[str], text: str) -> DataFrame:
@@ -210,7 +290,7 @@ def decoded(records: DataFrame, words: dict[str, int], keys: list[str], text: st
     schema = pa.schema([(k, pa.string()) for k in keys] + [("text", pa.string()), ("restored", pa.string()), ("channels", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = shared_decoder(shared)
         for b in batches:
             rows = []
             for *key, t in zip(*(c.to_pylist() for c in b.columns)):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,12 +60,10 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return langid.mislabelled(langid.document_languages(read_table(spark, folder, "documents"), doubtful_only=True))
 
 
-def _line_words(spark: SparkSession, folder: str) -> dict[str, int]:
-    return mojibake.lexicon([read_table(spark, folder, "line_records").select("text")])
-
-
-def _records(spark: SparkSession, folder: str, table: str, record_id: str, text: str) -> DataFrame:
-    return read_table(spark, folder, table).select(F.lit(table).alias("source_table"), "manual_id", F.col(record_id).alias("record_id"), F.col(text).alias("text"))
+def _records(spark: SparkSession, folder: str, *parts: tuple[str, str, str]) -> tuple[DataFrame, dict[str, int]]:
+    """Texts of the named (table, id, text) columns, and their lexicon."""
+    read = [read_table(spark, folder, t).select(F.lit(t).alias("source_table"), "manual_id", F.col(i).alias("record_id"), F.col(c).alias("text")) for t, i, c in parts]
+    return reduce(DataFrame.unionAll, read), mojibake.lexicon([r.select("text") for r in read])
 
 
 FOUND = ["source_table", "manual_id", "record_id"]
@@ -73,8 +72,8 @@ FOUND = ["source_table", "manual_id", "record_id"]
 @query
 def p4_consistent(spark: SparkSession, folder: str) -> DataFrame:
     """Lines and titles that aren't in their consistent form, with that form."""
-    records = _records(spark, folder, "line_records", "line_id", "text").unionAll(_records(spark, folder, "toc_entries", "line_id", "normalized_title"))
-    return confusables.consistent(records, FOUND, "text", _line_words(spark, folder)).distinct()
+    records, words = _records(spark, folder, ("line_records", "line_id", "text"), ("toc_entries", "line_id", "normalized_title"))
+    return confusables.consistent(records, FOUND, "text", words).distinct()
 
 
 @query
@@ -91,8 +90,8 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p5_decoded(spark: SparkSession, folder: str) -> DataFrame:
     """Lines and chunks that were read in a wrong encoding, restored."""
-    records = _records(spark, folder, "line_records", "line_id", "text").unionAll(_records(spark, folder, "retrieval_chunks", "chunk_id", "embedding_text"))
-    return mojibake.decoded(records, _line_words(spark, folder), FOUND, "text").distinct()
+    records, words = _records(spark, folder, ("line_records", "line_id", "text"), ("retrieval_chunks", "chunk_id", "embedding_text"))
+    return mojibake.decoded(records, words, FOUND, "text").distinct()
 
 
 @query

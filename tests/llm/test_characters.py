@@ -76,3 +76,37 @@ def test_consistent_rows_and_classes(spark):
     assert sorted((r["record_id"], r["misread"]) for r in out) == [("2", False), ("2", False), ("5", True), ("6", False)]
     assert [tuple(r) for r in C.classes(df, "text").collect()] == [(SAME, 2, 3)]
     assert C.classes(df.limit(0), "text").count() == 0 and C.consistent(df.limit(0), ["record_id"], "text").count() == 0
+
+
+@pytest.mark.parametrize("page", ["cp1251", "cp1253"])
+def test_code_pages_of_other_alphabets(decoder, page):
+    shown = "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in SENTENCE.encode())
+    assert decoder.decode(shown)[0] == SENTENCE
+    for right in ("ГОСТ” и „РОССИИ”", "множество ВГД", "Δ² – βx², Γ·x"):
+        assert decoder.decode(right) == (right, ())
+
+
+def test_any_number_of_lost_bytes(decoder):
+    words = "mulțimea condițiile totodată îndeplinește".split()
+    shown = ["".join(bytes([b]).decode("cp1252", "ignore") if b < 0x80 or b >= 0xC0 else "�" for b in w.encode()) for w in words]
+    text = "că  " + " ".join(shown * 6)
+    assert decoder.decode(text)[0] == "că  " + " ".join(words * 6)
+    strange = "q".join(["È�"] * 40) + "Äƒ"
+    assert "�" in decoder.decode(strange)[0]
+
+
+def test_best_reading_equals_all_readings(decoder):
+    import random
+    from itertools import product
+
+    rng = random.Random(3)
+    pool = ["ă", "ș", "ț", "–", "m", "a", "c", "Ș", "→", "i"]
+    for _ in range(300):
+        parts = [tuple(rng.sample(pool, rng.choice((1, 1, 2, 3)))) for _ in range(rng.randrange(1, 6))]
+        every = [decoder.likelihood("".join(r)) - M.CAPITAL_COST * sum(c > "\x7f" and c.isupper() for c in r) for r in product(*parts)]
+        assert decoder.best(parts)[0] >= max(every) - 1e-9
+
+
+@pytest.mark.parametrize("given, expected", [("mаtеmatiкa", "matematika"), ("множеctво", "множеctво"), ("Аո օrice", "An orice"), ("Ⅷ și 𝐱𝑦", "VIII și xy"), ("ℝ ⊂ ℂ, sinα + Δx", "ℝ ⊂ ℂ, sinα + Δx"), ("a\U000e0041b", "ab")])
+def test_mixed_words_and_styles(given, expected):
+    assert C.ordinary(given) == expected
