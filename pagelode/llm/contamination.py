@@ -4,11 +4,11 @@ SimHash fingerprints of 12-word windows on both sides; a multi-index over disjoi
 fingerprints within the radius (a pair that differs in at most R bits agrees on one of R + 1 blocks); each candidate is
 then checked exactly, by its run of equal words.
 
-Retouched passages, in which words were replaced all over, are found at the size of the whole item: fingerprints of as
-many words as the item (or its first or second half, for passages that are only a part) has are compared within a radius
-that fits a quarter of replaced words. At such a radius blocks of bits rule nothing out; instead, only windows are compared
-whose shingles weigh enough for any item's part (a bound from running sums that no counting window misses). Candidates are
-checked by weighted shingles.
+Retouched passages, in which words were replaced all over, are found at the size of the item: fingerprints of as many words
+as the item, or one of its parts (halves and quarters, each overlapping the next by half), has are compared within a radius
+that fits a quarter of replaced words. At such a radius blocks of bits rule nothing out; instead, only documents and items
+are compared that share shingles of enough weight for any of the item's parts (a bound that no counting window misses).
+Candidates are checked by weighted shingles.
 
 The evaluation side is a stated query set (the held-out items): it is read to the driver behind a size check and
 sent to the executors; the corpus is scanned once, in Arrow batches, and is never shuffled before the few matches.
@@ -35,10 +35,12 @@ RADIUS = 2  #: bits in which two fingerprints may differ
 BLOCK_BITS = (21, 21, 22)  #: RADIUS + 1 disjoint blocks of the 64 bits
 SHINGLE = 3  #: words of a shingle in the check of retouched passages
 SIMILARITY = 0.3  #: share of a part's weighted shingles from which a retouched passage counts: one word of six replaced keeps half
+SIMILARITY_SHORT = 0.45  #: the same for parts of fewer than SHORT_PART words
+SHORT_PART = 20
 RARE = 16  #: items that hold a shingle at most for its weight to be counted item by item
 STRIDE = 4  #: words between the starts of item-sized windows
 PART_RADIUS = 23  #: bits in which the fingerprints of item-sized windows may differ
-PART_WORDS = (20, 127)  #: words of an item's part; longer items are cut into more parts, and shorter halves aren't taken
+PART_WORDS = (12, 127)  #: words of an item's part; longer items are cut into more parts, and shorter ones aren't taken
 OTHER = 4096  #: bit patterns shared by words that no item holds
 MAX_ITEM_WORDS = 2_000_000  #: words of items sent to the executors at once
 
@@ -85,16 +87,6 @@ class PassageIndex:
             seen[part.astype(np.int64)] = True
             self.blocks.append((shift, bits, seen, part[order], order))
             shift += bits
-        # Whole items and their halves, by length: item numbers, first words, fingerprints.
-        parts: dict[int, list[tuple[int, int]]] = {}
-        least, most = PART_WORDS
-        for n, (_, ws) in enumerate(self.items):
-            pieces = -(-len(ws) // most)
-            for k in {pieces, 2 * pieces} if len(ws) >= WINDOW else ():
-                size = len(ws) // k
-                if k == 1 or size >= least:
-                    for at in range(k):
-                        parts.setdefault(size, []).append((n, at * size))
         # A shingle weighs more the fewer items hold it.
         held: dict[tuple[str, ...], list[int]] = {}
         for n, (_, ws) in enumerate(self.items):
@@ -105,11 +97,24 @@ class PassageIndex:
         self.keys = np.array([k for k, _ in keyed], dtype=np.int64)
         self.held = np.array([len(of) for _, of in keyed], dtype=np.int64)
         self.holders = np.fromiter(chain.from_iterable(of for _, of in keyed), dtype=np.int64)
-        self.parts = []
-        for size, owned in parts.items():
-            ids = [np.fromiter((self.vocab[w] for w in self.items[n][1][at : at + size]), dtype=np.int32, count=size) for n, at in owned]
-            needed = SIMILARITY * np.array([sum(self.weight[s] for s in self._shingles(n, at, size)) for n, at in owned])
-            self.parts.append((size, owned, np.concatenate([self.fingerprints(x, size) for x in ids]), needed))
+        # Of each item its parts: first word, words, fingerprint, sorted shingle numbers with their weights, weight needed.
+        least, most = PART_WORDS
+        self.parts: list[list[tuple[int, int, np.uint64, np.ndarray, np.ndarray, float]]] = []
+        for n, (_, ws) in enumerate(self.items):
+            own = []
+            pieces = -(-len(ws) // most)
+            for cut in (pieces, 2 * pieces, 4 * pieces) if len(ws) >= WINDOW else ():
+                size = len(ws) // cut
+                if size < least and cut > pieces:
+                    continue
+                for at in sorted({*range(0, len(ws) - size + 1, max(1, -(-size // 2))), len(ws) - size}):
+                    ids = np.fromiter((self.vocab[w] for w in ws[at : at + size]), dtype=np.int32, count=size)
+                    shingles = sorted((int(self._key(*(self.vocab[w] for w in x))), self.weight[x]) for x in self._shingles(n, at, size))
+                    weights = np.array([w for _, w in shingles])
+                    needed = (SIMILARITY if size >= SHORT_PART else SIMILARITY_SHORT) * weights.sum()
+                    own.append((at, size, self.fingerprints(ids, size)[0], np.array([k for k, _ in shingles], np.int64), weights, needed))
+            self.parts.append(own)
+        self.needed = np.array([min((x[-1] for x in own), default=np.inf) for own in self.parts])
 
     def sums(self, ids: np.ndarray) -> np.ndarray:
         """Running sums of the words' bit patterns; they may wrap, but differences over fewer than 128 words don't."""
@@ -133,60 +138,67 @@ class PassageIndex:
         ws = self.items[n][1]
         return {tuple(ws[p : p + SHINGLE]) for p in range(k, k + size - SHINGLE + 1)}
 
-    def weighed(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
-        """Running sums of the weights of the shingles that start at each word, of all and of those that aren't rare, and the rare ones' by document and item."""
-        every, common = np.zeros(len(ids) + 1), np.zeros(len(ids) + 1)
-        if not len(self.keys) or len(ids) < SHINGLE:
-            return every, common, {}
-        wide = ids.astype(np.int64)
-        keys = self._key(wide[:-2], wide[1:-1], wide[2:])
+    def near_pairs(self, keys: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+        """(document, item number) of all that share shingles of enough weight for one of the item's parts.
+
+        ``keys`` has the shingle that starts at each word, -1 for none. Shingles that few items hold are counted by document and
+        item; of the others the most that stands in any window of a document is added to each of its items.
+        """
+        if not len(self.keys) or not len(keys):
+            return []
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = np.flatnonzero(self.keys[at] == keys)
         at = at[hit]
         n = self.held[at]
-        every[hit + 1] = 1.0 / n
-        common[hit + 1] = np.where(n > RARE, 1.0 / n, 0.0)
         rare = n <= RARE
+        common = np.zeros(len(keys) + 1)
+        common[hit[~rare] + 1] = 1.0 / n[~rare]
+        run = np.cumsum(common)
+        width = np.minimum(np.arange(len(keys)) + PART_WORDS[1] + 2 * STRIDE, len(keys))
+        most = np.zeros(len(ends))
+        full = np.flatnonzero(ends > begins)
+        if len(full):
+            most[full] = np.maximum.reduceat(run[width] - run[:-1], begins[full])
         hit, at, n = hit[rare], at[rare], n[rare]
         first = (np.cumsum(self.held) - self.held)[at]
         of = self.holders[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         pairs, which = np.unique(np.repeat(np.searchsorted(ends, hit, "right"), n) * len(self.items) + of, return_inverse=True)
         sums = np.bincount(which, weights=np.repeat(1.0 / n, n), minlength=len(pairs))
-        return np.cumsum(every), np.cumsum(common), dict(zip(pairs.tolist(), sums.tolist()))
-
-    def retouched(self, ids: np.ndarray, ends: np.ndarray, weights_of: tuple, base: int, step: int) -> Iterator[tuple[int, int, int, int, int]]:
-        """(document, window start, part size, item number, part start) of the item-sized windows that start in a step, within PART_RADIUS bits."""
-        weighed, common, rare = weights_of
-        if weighed[min(base + step + PART_WORDS[1] + STRIDE, len(ids))] == weighed[max(base - STRIDE, 0)]:
-            return
-        run = self.sums(ids[base : base + step + PART_WORDS[1]])
-        # A start whose largest window weighs too little for any part is none for smaller windows either.
-        every = np.arange(base, min(base + step, len(ids)), STRIDE)
-        widest = weighed[np.minimum(every + PART_WORDS[1] + STRIDE, len(ids))] - weighed[np.maximum(every - STRIDE, 0)] + 1e-6
-        every = every[widest >= min(needed.min() for *_, needed in self.parts)]
-        for size, owned, codes, needed in self.parts:
-            starts = every[every <= len(ids) - size]
-            # Rounding aside, no window's shared shingles weigh more than all that start in it.
-            lo, hi = np.maximum(starts - STRIDE, 0), np.minimum(starts + size + STRIDE - SHINGLE + 1, len(ids))
-            weights = weighed[hi] - weighed[lo] + 1e-6
-            open_ = np.flatnonzero(weights >= needed.min())
-            starts, weights, shared = starts[open_], weights[open_], (common[hi] - common[lo])[open_] + 1e-6
-            if not len(starts):
+        d, i = pairs // len(self.items), pairs % len(self.items)
+        counts = sums + most[d] + 1e-6 >= self.needed[i]
+        out = {*zip(d[counts].tolist(), i[counts].tolist())}
+        for d in np.flatnonzero(most + 1e-6 >= self.needed.min()).tolist():
+            out |= {(d, i) for i in np.flatnonzero(most[d] + 1e-6 >= self.needed).tolist()}
+        return sorted(out)
+
+    def retouched(self, run: np.ndarray, own: np.ndarray, n: int) -> tuple[float, int]:
+        """The best similarity of a document's windows to an item's parts and its first word; 0 if none counts.
+
+        Only windows within PART_RADIUS bits count; those over an end of the document are cut there. ``run`` has the running sums
+        of bit patterns, ``own`` the shingle that starts at each word.
+        """
+        best, first, words = 0.0, 0, len(own)
+        for _, size, code, shingles, weights, needed in self.parts[n]:
+            at = np.minimum(np.searchsorted(shingles, own), len(shingles) - 1)
+            held = np.where(shingles[at] == own, weights[at], 0.0)
+            run_held = np.concatenate((np.zeros(1), np.cumsum(held)))
+            starts = np.arange(-(size // 2) // STRIDE * STRIDE, words - size // 2 + 1, STRIDE)
+            lo, hi = np.clip(starts - STRIDE, 0, words), np.clip(starts + size + STRIDE - SHINGLE + 1, 0, words)
+            most = run_held[np.maximum(lo, hi)] - run_held[lo]  # a shingle that comes twice counts twice: a bound
+            open_ = np.flatnonzero(most + 1e-6 >= max(needed, best * weights.sum()))
+            if not len(open_):
                 continue
-            windows = np.packbits(run[starts - base + size] - run[starts - base] > 0, axis=1).view(np.uint64).ravel()
-            docs_of = np.searchsorted(ends, starts + size // 2, "right")  # a window over the edge of a document is that of its middle word
-            for (n, k), code, least in zip(owned, codes, needed):
-                near = np.flatnonzero((np.bitwise_count(windows ^ code) <= PART_RADIUS) & (weights >= least))
-                for d, at, x in zip(docs_of[near].tolist(), starts[near].tolist(), shared[near].tolist()):
-                    if d < len(ends) and rare.get(d * len(self.items) + n, 0.0) + x >= least:
-                        yield d, at, size, n, k
-
-    def shared(self, ws: list[str], at: int, size: int, n: int, k: int) -> float:
-        """Share of the weighted shingles of an item's part that stand in the window, its edges moved by up to STRIDE words."""
-        part = self._shingles(n, k, size)
-        lo, hi = max(at - STRIDE, 0), min(at + size + STRIDE, len(ws))
-        both = part & {tuple(ws[p : p + SHINGLE]) for p in range(lo, hi - SHINGLE + 1)}
-        return sum(self.weight[s] for s in both) / sum(self.weight[s] for s in part)
+            starts, most, lo, hi = starts[open_], most[open_], lo[open_], hi[open_]
+            a, b = np.clip(starts, 0, words), np.clip(starts + size, 0, words)
+            near = np.bitwise_count(np.packbits(run[b] - run[a] > 0, axis=1).view(np.uint64).ravel() ^ code) <= PART_RADIUS
+            for k in np.flatnonzero(near)[np.argsort(-most[near], kind="stable")].tolist():
+                if most[k] + 1e-6 < max(needed, best * weights.sum()):
+                    break
+                inside = at[lo[k] : hi[k]][held[lo[k] : hi[k]] > 0]
+                weight = weights[np.unique(inside)].sum()
+                if weight + 1e-9 >= needed and weight > best * weights.sum() + 1e-9:
+                    best, first = float(weight / weights.sum()), int(max(starts[k], 0))
+        return best, first
 
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (corpus window, item window) within RADIUS bits; none is missed."""
@@ -234,9 +246,8 @@ class PassageIndex:
         found: dict[tuple[int, int], tuple[int, int]] = {}
         like: dict[tuple[int, int], tuple[float, int]] = {}
         exact: set[tuple[int, int, int]] = set()  # alignments whose run of equal words is long enough and known
+        begins = ends - np.array([len(ws) for ws in docs], dtype=np.int64)
         step = 100_000
-        padded = np.concatenate([flat, np.zeros(PART_WORDS[1], np.int32)])  # a passage at the end may be shorter than its item
-        weighed = self.weighed(padded, ends)
         for base in range(0, len(flat), step):
             codes = self.fingerprints(flat[base : base + step + WINDOW - 1])
             windows, items = self.candidates(codes)
@@ -244,7 +255,7 @@ class PassageIndex:
             docs_of = np.searchsorted(ends, windows, "right")
             inside = windows + WINDOW <= ends[np.minimum(docs_of, len(ends) - 1)]
             for at, item, d in zip(windows[inside].tolist(), items[inside].tolist(), docs_of[inside].tolist()):
-                begin = int(ends[d]) - len(docs[d])
+                begin = int(begins[d])
                 aligned = (d, self.owner[item], at - begin - self.start[item])
                 if aligned in exact:
                     continue
@@ -255,11 +266,21 @@ class PassageIndex:
                 old = found.get((d, n))
                 if old is None or run > old[1]:
                     found[d, n] = (first, run)
-            for d, at, size, n, k in self.retouched(padded, ends, weighed, base, step):
-                first = at - (int(ends[d]) - len(docs[d]))
-                similarity = self.shared(docs[d], first, size, n, k)
-                if similarity >= SIMILARITY and similarity > like.get((d, n), (0.0, 0))[0]:
-                    like[d, n] = (similarity, max(first, 0))
+        wide = flat.astype(np.int64)
+        keys = np.full(len(flat), -1, np.int64)
+        if len(flat) >= SHINGLE:
+            keys[:-2] = self._key(wide[:-2], wide[1:-1], wide[2:])
+            for back in range(1, SHINGLE):  # none crosses the end of a document
+                last = ends - back
+                keys[last[last >= begins]] = -1
+        at, sums = -1, np.zeros((0, 64), np.int8)
+        for d, n in self.near_pairs(keys, begins, ends):
+            begin, end = int(begins[d]), int(ends[d])
+            if d != at:
+                at, sums = d, self.sums(flat[begin:end])
+            similarity, first = self.retouched(sums, keys[begin:end], n)
+            if similarity:
+                like[d, n] = (similarity, first)
         for d, n in found.keys() | like.keys():
             similarity, near = like.get((d, n), (0.0, 0))
             first, run = found.get((d, n), (near, 0))
@@ -281,8 +302,8 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[in
 def contaminated(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, item_id, first_word, run_words, similarity): passages of items that documents hold.
 
-    One row for each document and item with a run of at least WINDOW equal consecutive words, or an item-sized or
-    half-item-sized window that holds SIMILARITY of the part's weighted shingles; run_words is 0 for the latter alone. Null and empty texts match nothing; items shorter than
+    One row for each document and item with a run of at least WINDOW equal consecutive words, or a window of the size
+    of the item or a part of it that holds SIMILARITY of the part's weighted shingles; run_words is 0 for the latter alone. Null and empty texts match nothing; items shorter than
     WINDOW words have no passage; repeated rows give repeated matches once; other columns are ignored.
     """
     spark = documents.sparkSession

@@ -77,17 +77,44 @@ def test_blocks_find_every_near_fingerprint():
         assert k in index.candidates(np.array([code], np.uint64))[1]
 
 
-def test_retouched_passages_are_found_at_their_items_size():
+def test_recall_of_retouched_passages():
+    """Passages of 24 words and more with every sixth word or one to three words of each twelve changed; none has 12 equal words."""
     rng = random.Random(4)
-    questions = [" ".join(rng.choices([f"cuvânt{i}" for i in range(300)], k=rng.randrange(45, 93))) for _ in range(12)]
+    questions = [" ".join(rng.choices([f"cuvânt{i}" for i in range(900)], k=rng.randrange(45, 93))) for _ in range(40)]
     other = lambda k: [f"alt{rng.randrange(500)}" for _ in range(k)]
-    touched = lambda ws: [f"{rng.randrange(9999)}" if p % 6 == 5 else w for p, w in enumerate(ws)]
-    texts, want = [], set()
-    for n, q in enumerate(questions):
-        ws = q.split()
-        for part in (ws, ws[: len(ws) // 2], ws[len(ws) // 2 :]):
-            want.add((len(texts), 100 + n))
-            texts.append(" ".join(other(rng.randrange(0, 90)) + touched(part) + other(rng.randrange(0, 90))))
-        texts.append(" ".join(rng.sample(ws, len(ws))))  # the same words in another order are no passage
-    out = list(C.PassageIndex([(100 + n, q) for n, q in enumerate(questions)]).matches(texts))
-    assert {(d, i) for d, i, *_ in out} == want and all(run == 0 and similarity >= C.SIMILARITY for *_, run, similarity in out)
+    index = C.PassageIndex([(100 + n, q) for n, q in enumerate(questions)])
+    for size, changes in ((60, 1), (60, 2), (60, 3), (36, 1), (36, 2), (24, 1), (24, 2)):
+        texts = []
+        for q in questions:
+            ws = q.split()
+            k = rng.randrange(0, max(1, len(ws) - size + 1))
+            part = ws[k : k + size]
+            for p in range(0, len(part), 12):
+                for x in rng.sample(range(p, min(p + 12, len(part))), min(changes, len(part) - p)):
+                    part[x] = f"schimbat{rng.randrange(9999)}"
+            texts.append(" ".join(other(rng.randrange(0, 90)) + part + other(rng.randrange(0, 90))))
+        got = {(d, i) for d, i, *_ in index.matches(texts)}
+        assert got <= {(n, 100 + n) for n in range(40)} and len(got) >= 36, (size, changes, len(got))
+    shuffled = [" ".join(rng.sample(q.split(), len(q.split()))) for q in questions]  # the same words in another order are no passage
+    assert list(index.matches(shuffled)) == []
+
+
+def test_matches_do_not_depend_on_other_documents():
+    rng = random.Random(6)
+    questions = [" ".join(rng.choices([f"w{i}" for i in range(80)], k=60)) for _ in range(8)]
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(80)], k=20) + [w if rng.random() < 0.85 else "x" for w in rng.choice(questions).split()[10:50]]) for _ in range(30)]
+    index = C.PassageIndex(list(enumerate(questions)))
+    together = sorted(index.matches(texts))
+    assert together == sorted((n, *rest) for n, t in enumerate(texts) for _, *rest in index.matches([t])) and together
+
+
+def test_pair_bound_misses_nothing():
+    """Against all documents and items, also where most shingles are common."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(6)]
+    questions = [" ".join(rng.choices(vocabulary, k=45)) for _ in range(30)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(0, 70))) for _ in range(20)]
+    index = C.PassageIndex(list(enumerate(questions)))
+    bounded = {(d, i, s) for d, i, _, run, s in index.matches(texts) if s}
+    index.needed[:] = 0.0
+    assert bounded == {(d, i, s) for d, i, _, run, s in index.matches(texts) if s} and bounded
