@@ -40,7 +40,7 @@ def p1_text_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p1_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Outlier scores of every document with text."""
-    out = quality.document_forms(read_table(spark, folder, "documents"))
+    out = quality.ranked_documents(read_table(spark, folder, "documents"))
     return out.select("doc_id", "language", *quality.STATISTICS, F.round("score", 6).alias("score"), "kind")
 
 
@@ -125,7 +125,13 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return splitting.split_chunks(read_table(spark, folder, "retrieval_chunks")).where(F.col("piece") == 2).select("chunk_id").distinct()
+    return splitting.split_chunks(read_table(spark, folder, "retrieval_chunks")).where(F.col("piece") == 1).select("chunk_id").distinct()
+
+
+@query
+def p2_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Of every oversized chunk: its words as its pieces hold them, and whether all pieces keep the limits and share 60 words."""
+    return splitting.coverage(splitting.split_chunks(read_table(spark, folder, "retrieval_chunks")))
 
 
 @query
@@ -135,7 +141,10 @@ def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-ORACLES["p2_found"] = f"""
-    SELECT DISTINCT chunk_id FROM retrieval_chunks
-    WHERE length(text) > 2400 OR len(list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda w: w <> '')) > 220
+_WORDS = f"list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda w: w <> '')"
+_OVERSIZED = f"length(text) > 2400 OR len({_WORDS}) > 220"
+ORACLES["p2_found"] = f"SELECT DISTINCT chunk_id FROM retrieval_chunks WHERE {_OVERSIZED}"
+ORACLES["p2_coverage"] = f"""
+    SELECT DISTINCT chunk_id, md5(array_to_string({_WORDS}, ' ')) AS words_md5, true AS within_limits, 60 AS least_shared
+    FROM retrieval_chunks WHERE ({_OVERSIZED}) AND len(list_filter({_WORDS}, lambda w: length(w) > 30)) = 0
 """

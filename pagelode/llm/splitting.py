@@ -24,6 +24,7 @@ MOST_WORDS = 220
 MOST_CHARS = 2400
 OVERLAP = 60
 ATOM_WORDS = 20  #: words of an atomic segment at most
+ATOM_CHARS = 300  #: characters from which an atomic segment ends at the next word
 #: The white space that separates words, as Python has it.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
 
@@ -52,7 +53,7 @@ def _atoms(text: str) -> list[tuple[int, int, int, float]]:
                 out.append((m.start() + s if s else start, m.start() + e, first if not s else n, strength if not s else joint))
             start, strength = None, cut
             continue
-        if cut > 1.0 or held >= ATOM_WORDS or n + 1 == len(words) or words[n + 1].end() - words[n + 1].start() > MOST_CHARS // 4:
+        if cut > 1.0 or held >= ATOM_WORDS or m.end() - start >= ATOM_CHARS or n + 1 == len(words) or words[n + 1].end() - words[n + 1].start() > MOST_CHARS // 4:
             out.append((start, m.end(), first, strength))
             start, strength = None, cut
     return out
@@ -74,12 +75,13 @@ def _pieces_of_word(word: str) -> Iterator[tuple[int, int, float]]:
 def pieces(text: str, most_words: int = MOST_WORDS, most_chars: int = MOST_CHARS, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """(start, end) of the pieces of a text, each within both limits and sharing ``overlap`` words with the one before.
 
-    A text within the limits is one piece; a text without words is none. Where words can't be told apart, pieces share
-    nothing.
+    A text within the limits is one piece; of an oversized text without words the one piece is empty. Fewer words are shared
+    only where the words before and the next segment together exceed the characters; where words can't be told apart,
+    pieces share nothing.
     """
     words = [m.span() for m in _WORD.finditer(text)]
     if not words:
-        return []
+        return [(0, 0)] if len(text) > most_chars else []
     if len(words) <= most_words and len(text) <= most_chars:
         return [(0, len(text))]
     starts = [s for s, _ in words]
@@ -87,13 +89,14 @@ def pieces(text: str, most_words: int = MOST_WORDS, most_chars: int = MOST_CHARS
 
     def begin(a: int) -> int:
         """Where the piece that begins with atom ``a`` begins, with the words repeated from before."""
-        s, _, first, _ = atoms[a]
+        s, e, first, _ = atoms[a]
         if a == 0 or s != starts[first]:
             return s
         back = max(0, first - overlap)
-        while back < first and (starts[first] - starts[back] > most_chars // 2 or words[back][1] - words[back][0] > most_chars // 4):
+        while back < first and e - starts[back] > most_chars:
             back += 1
-        return starts[back]
+        apart = [k for k in range(back, first) if words[k][1] - words[k][0] > most_chars // 4]  # such a word stands for many
+        return starts[apart[-1] + 1 if apart else back]
 
     begins = [begin(a) for a in range(len(atoms))]
 
@@ -185,7 +188,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def split_chunks(chunks: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Rows (chunk_id, manual_id, piece, text, word_count, start_line_id, end_line_id): the pieces of every oversized chunk.
 
-    With ``lines``, each piece's first and last line come from the lines between the chunk's own first and last line, of
+    A blank oversized text has one empty piece. With ``lines``, each piece's first and last line come from the lines between the chunk's own first and last line, of
     which the latest ingested counts; without, or where none are found, they are the chunk's own. Null and empty texts and
     texts within the limits have no row; repeated chunks come out once; other columns are ignored.
     """
@@ -199,3 +202,18 @@ def split_chunks(chunks: DataFrame, lines: DataFrame | None = None) -> DataFrame
     own = held.groupBy("chunk_id", "version").agg(F.collect_list(F.struct("line_id", "text", "ingested_at")).alias("own"))
     both = big.withColumn("version", F.xxhash64("text")).join(own, ["chunk_id", "version"], "left")
     return both.select("chunk_id", "manual_id", "start_line_id", "end_line_id", "text", "own").mapInArrow(_cut, PIECES)
+
+
+def coverage(found: DataFrame) -> DataFrame:
+    """Rows (chunk_id, words_md5, within_limits, least_shared) of chunks whose words can be told apart, by their pieces.
+
+    The words are those of the pieces in order, without the ones that each shares with the piece before.
+    """
+    words = F.filter(F.split("text", SPACE + "+"), lambda w: w != "")
+    own = found.select("chunk_id", F.struct("piece", words.alias("w"), ((F.length("text") <= MOST_CHARS) & (F.size(words) <= MOST_WORDS)).alias("ok")).alias("p"))
+    each = own.groupBy("chunk_id").agg(F.sort_array(F.collect_list("p")).alias("p"))  # the pieces of one chunk
+    joint = lambda x, y: F.slice(x["w"], -OVERLAP, OVERLAP) == F.slice(y["w"], 1, OVERLAP)
+    shared = F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p")), lambda x, y: F.when((F.size(x["w"]) >= OVERLAP) & joint(x, y), OVERLAP).otherwise(0))
+    rest = F.flatten(F.transform("p", lambda x, n: F.when(n == 0, x["w"]).otherwise(F.slice(x["w"], OVERLAP + 1, F.greatest(F.size(x["w"]) - OVERLAP, F.lit(0))))))
+    out = each.select("chunk_id", rest.alias("w"), F.forall("p", lambda x: x["ok"]).alias("within_limits"), F.coalesce(F.array_min(shared), F.lit(OVERLAP)).alias("least_shared"))
+    return out.where(~F.exists("w", lambda w: F.length(w) > 30)).select("chunk_id", F.md5(F.array_join("w", " ")).alias("words_md5"), "within_limits", "least_shared")

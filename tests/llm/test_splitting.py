@@ -15,7 +15,7 @@ TEXT = st.lists(st.sampled_from(["cuvânt", "a", "Propoziție.", "parte,", "\n",
 def test_pieces_cover_the_text_within_the_limits(text):
     out = S.pieces(text)
     words = text.split()
-    assert bool(out) == bool(words)
+    assert bool(out) == bool(words or len(text) > S.MOST_CHARS)
     if len(words) <= S.MOST_WORDS and len(text) <= S.MOST_CHARS:
         assert len(out) <= 1
         return
@@ -66,3 +66,28 @@ def test_chunks_and_their_lines(spark):
 def test_limits_are_exact(spark):
     rows = [("a", "m", None, None, " ".join(["w"] * 220), "", ""), ("b", "m", None, None, " ".join(["w"] * 221), "", ""), ("c", "m", None, None, "x" * 2400, "", ""), ("d", "m", None, None, "x" * 2401, "", ""), ("e", "m", None, None, "　".join(["w"] * 221), "", "")]
     assert {r["chunk_id"] for r in S.oversized(chunks(spark, rows)).collect()} == {"b", "d", "e"}
+
+
+def test_size_from_white_space_counts_too(spark):
+    padded = " ".join(f"c{i}" for i in range(200)) + " " * 2300
+    rows = [("a", "m", None, None, padded, "", ""), ("b", "m", None, None, " " * 2500, "", ""), ("c", "m", None, None, " " * 2400, "", ""), ("d", "m", None, None, "  \n ".join(f"c{i}" for i in range(500)) + " " * 90, "", "")]
+    out = S.split_chunks(chunks(spark, rows)).collect()
+    assert {r["chunk_id"] for r in out if r["piece"] == 1} == {"a", "b", "d"}
+    assert [(r["text"], r["word_count"]) for r in out if r["chunk_id"] == "b"] == [("", 0)]
+
+
+def test_long_words_share_sixty_while_they_fit():
+    text = " ".join("x" * 29 + f"{i:03d}" for i in range(200))  # 60 words are 1,979 characters
+    out = S.pieces(text)
+    assert all(e - s <= S.MOST_CHARS for s, e in out) and out[-1][1] == len(text)
+    assert all(len(text[s2:e].split()) == 60 for (_, e), (s2, _) in zip(out, out[1:]))
+    wide = " ".join("x" * 79 + f"{i:03d}" for i in range(90))  # 60 words don't fit
+    assert all(0 < len(wide[s2:e].split()) < 60 for (_, e), (s2, _) in zip(S.pieces(wide), S.pieces(wide)[1:]))
+
+
+def test_coverage(spark):
+    text = ". ".join(" ".join(f"c{i}" for i in range(k, k + 11)) for k in range(0, 900, 11))
+    (r,) = S.coverage(S.split_chunks(chunks(spark, [("a", "m", None, None, text, "", ""), ("b", "m", None, None, "x" * 3000, "", "")]))).collect()
+    import hashlib
+
+    assert tuple(r) == ("a", hashlib.md5(" ".join(text.split()).encode()).hexdigest(), True, 60)
