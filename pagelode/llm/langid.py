@@ -11,11 +11,12 @@ document's words disagree, a Viterbi pass with a cost for each change of languag
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelode.llm import quality
@@ -23,7 +24,7 @@ from pagelode.llm.quality import LANGUAGE_NAMES, label_language
 
 LANGUAGES = tuple(LANGUAGE_NAMES)
 SAMPLE = 200  #: labelled documents of each language used for training, at most
-SAMPLE_BYTES = 1536  #: bytes of each used for training
+SAMPLE_BYTES = 1536  #: characters of each, and then bytes, used for training at most
 PATCH = 4  #: bytes a step
 STEPS = 64  #: steps of a window
 HIDDEN = 12
@@ -204,26 +205,42 @@ class Network:
 
 
 def labelled_sample(documents: DataFrame, doc_id: str, text: str, lang: str) -> list[tuple[bytes, int]]:
-    """At most about SAMPLE documents of each label, chosen by a hash of the text."""
+    """SAMPLE texts of each label at most: those with the least hashes, equal texts once; SAMPLE_BYTES from a place that the hash tells."""
     language = label_language(F.col(lang))
-    known = documents.where(language.isNotNull() & (F.length(text) > 200))
-    sizes = {r[0]: r[1] for r in known.groupBy(language.alias("l")).count().collect()}
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE / n))]) if sizes else None
-    if share is None:
+    known = documents.where(language.isNotNull() & (F.length(text) > 200)).select(language.alias("l"), F.col(text).alias("t"))
+    sizes = {r[0]: r[1] for r in known.groupBy("l").count().collect()}
+    if not sizes:
         return []
-    drawn = known.where(F.pmod(F.xxhash64(text), F.lit(1_000_003)) < share[language] * 1_000_003).select(language, F.substring(text, 1, SAMPLE_BYTES))
-    rows = sorted((r[1], r[0]) for r in drawn.limit(3 * SAMPLE * len(LANGUAGES)).collect())
+    hashed = known.withColumn("h", F.xxhash64("t"))
+    # Below this share of the hashes' range lie about twice as many different texts as wanted, whatever the number of texts.
+    counts = hashed.groupBy("l").agg(F.approx_count_distinct("h").alias("n"))
+    share = F.create_map(*[F.lit(x) for r in counts.collect() for x in (r["l"], min(1.0, 2.0 * SAMPLE / r["n"]))])
+    drawn = hashed.where(F.pmod("h", F.lit(1_000_003)) <= share[F.col("l")] * 1_000_003)
+    start = F.lit(1) + F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.length("t") - SAMPLE_BYTES)).cast("int")
+    part = drawn.groupBy("l", "h").agg(F.first(F.substring("t", start, F.lit(SAMPLE_BYTES))).alias("t"))
+    taken = part.withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy(F.pmod("h", F.lit(1_000_003)), "h"))).where(F.col("n") <= SAMPLE)
+    rows = sorted((r["t"], r["l"]) for r in taken.collect())
     return [(text_bytes(t)[:SAMPLE_BYTES], LANGUAGES.index(l)) for t, l in rows]
 
 
+_TRAINED: dict[str, Network] = {}
+
+
 def trained(sample: list[tuple[bytes, int]]) -> Network:
-    """A network trained twice: the second time without the documents whose label the first one contradicts in any part."""
-    first = Network()
-    first.train([t for t, _ in sample], [l for _, l in sample], ITERATIONS // 2)
-    kept = [(t, l) for t, l in sample if all(int(q.argmax()) == l for q in part_languages(first, t))]
-    network = Network()
-    network.train([t for t, _ in kept], [l for _, l in kept])
-    return network
+    """A network trained twice: the second time without the documents whose label the first one contradicts in any part.
+
+    The same sample, as of a second query over the same table, is trained once in a driver's process.
+    """
+    known = hashlib.sha256(b"\0".join(t + bytes([l]) for t, l in sample)).hexdigest()
+    if known not in _TRAINED:
+        first = Network()
+        first.train([t for t, _ in sample], [l for _, l in sample], ITERATIONS // 2)
+        kept = [(t, l) for t, l in sample if all(int(q.argmax()) == l for q in part_languages(first, t))]
+        network = Network()
+        network.train([t for t, _ in kept], [l for _, l in kept])
+        _TRAINED.clear()
+        _TRAINED[known] = network
+    return _TRAINED[known]
 
 
 def part_languages(network: Network, data: bytes, parts: int = 6) -> list[np.ndarray]:
