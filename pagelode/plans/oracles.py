@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pagelode.functions import text as X
+# Fixed values of the repairs, stated here again so that a wrong table in the engine shows.
+C1_FROM = "".join(chr(k) for k in (0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F))
+C1_TO = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+LEGACY_FROM, LEGACY_TO = "ãÃþÞºª", "ăĂţŢşŞ"
+SEARCH_FROM, SEARCH_TO = "ãÃþÞºªæÆçÇ", "ăĂţŢşŞţŢşŞ"
+SEARCH_SEQUENCES = [("Å£", "ţ"), ("Åž", "Ş"), ("ÅŸ", "ş"), ("Äƒ", "ă"), ("Ã®", "î"), ("Ã¢", "â")]
+WIDE_DIGITS = "０１２３４５６７８９"
 
 #: Members of the white space class.
 _WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -29,14 +35,14 @@ def _chr(s: str) -> str:
 
 
 def stored_repair(c: str) -> str:
-    return f"nfc_normalize(translate(translate({c}, {_chr(X.C1_FROM)}, {_chr(X.C1_TO)}), '{X.LEGACY_FROM}', '{X.LEGACY_TO}'))"
+    return f"nfc_normalize(translate(translate({c}, {_chr(C1_FROM)}, {_chr(C1_TO)}), '{LEGACY_FROM}', '{LEGACY_TO}'))"
 
 
 def search_repair(c: str) -> str:
     out = f"nfc_normalize({c})"
-    for broken, right in X.SEARCH_SEQUENCES:
+    for broken, right in SEARCH_SEQUENCES:
         out = f"replace({out}, '{broken}', '{right}')"
-    return f"translate({out}, '{X.SEARCH_FROM}', '{X.SEARCH_TO}')"
+    return f"translate({out}, '{SEARCH_FROM}', '{SEARCH_TO}')"
 
 
 def folded(c: str) -> str:
@@ -54,7 +60,7 @@ PREFIX = rf"(?i)^{WS}*(?:(?:capitol(?:ul)?|chapter){WS}+)?({NUM})[.)]?{WS}+"
 
 
 def section_label(c: str) -> str:
-    return f"nullif(translate(regexp_extract({c}, '{PREFIX}', 1), '{X.WIDE_DIGITS}', '0123456789'), '')"
+    return f"nullif(translate(regexp_extract({c}, '{PREFIX}', 1), '{WIDE_DIGITS}', '0123456789'), '')"
 
 
 def without_section(c: str) -> str:
@@ -123,7 +129,7 @@ TOC_PAGES = rf"""toc_pages AS (SELECT manual_id, page_id, coalesce(dots, 0) AS d
     FROM (SELECT manual_id, page_id, text, {match_form('text')} AS m FROM lines) GROUP BY ALL)) f USING (manual_id, page_id))"""
 
 _CONTENTS = rf"(?s)^(.*?)(?:\.{{2,}}{WS}*)?(\p{{Nd}}{{1,4}}){WS}*$"
-_PAGE = f"CAST(nullif(translate(regexp_extract({stripped('text')}, '{_CONTENTS}', 2), '{X.WIDE_DIGITS}', '0123456789'), '') AS INTEGER)"
+_PAGE = f"CAST(nullif(translate(regexp_extract({stripped('text')}, '{_CONTENTS}', 2), '{WIDE_DIGITS}', '0123456789'), '') AS INTEGER)"
 _BODY = stripped(sub(f"regexp_extract({stripped('text')}, '{_CONTENTS}', 1)", "[. ]+$"))
 _TITLE = stripped(sub(_BODY, rf"^{WS}*{NUM}\.?{WS}+"))
 ENTRIES = f"""entries AS (SELECT manual_id, CAST(row_number() OVER (PARTITION BY manual_id ORDER BY page_index, y0, block_index, line_index, line_id) AS INTEGER) AS pos, page_id, line_id, raw_text, section,
@@ -135,7 +141,7 @@ LESSONS = f"""lessons AS (SELECT manual_id, {match_form('title')} AS query FROM
 LEXICAL = f"""titled AS (SELECT manual_id, line_id, {line_title('text')} AS title FROM lines),
     tokens AS (SELECT *, string_split(query, ' ') AS qt, string_split(title, ' ') AS tt FROM titled JOIN lessons USING (manual_id) WHERE query <> '' AND title <> ''),
     sides AS (SELECT *, CASE WHEN len(qt) <= len(tt) THEN query ELSE title END AS short, CASE WHEN len(qt) <= len(tt) THEN title ELSE query END AS long FROM tokens),
-    lexical AS (SELECT manual_id, line_id, query = title AS exact, len(list_intersect(qt, tt)) / CAST(len(list_distinct(list_concat(qt, tt))) AS DOUBLE) AS jaccard,
+    lexical AS (SELECT manual_id, line_id, query, title, query = title AS exact, len(list_intersect(qt, tt)) / CAST(len(list_distinct(list_concat(qt, tt))) AS DOUBLE) AS jaccard,
     CASE WHEN least(len(qt), len(tt)) >= 2 AND contains(' ' || long || ' ', ' ' || short || ' ') THEN 0.75 + 0.25 * length(short) / CAST(length(long) AS DOUBLE) ELSE 0 END AS containment,
     2 * least(length(query), length(title)) / CAST(length(query) + length(title) AS DOUBLE) AS ratio_bound FROM sides)"""
 
@@ -153,6 +159,69 @@ NEXT_PEERS = f"""SELECT manual_id, line_id FROM (SELECT l.manual_id, l.line_id,
     AND (l.height <= 0 OR a.height <= 0 OR l.height >= 0.8::DOUBLE * a.height OR l.top_fraction <= 0.35)) WHERE n = 1"""
 
 
+def ratios(name: str, pairs: str) -> str:
+    """CTEs giving ``name`` (q, t, r): matching-block similarity of the pairs (q, t) that ``pairs`` selects.
+
+    The longest common run, first in q and then in t, splits both strings; what is left of it and right of it is matched alike.
+    """
+    longest = "list_max(list_transform(range(1, length(a) + 1), lambda i: 100000 * list_max(list_append(list_filter(range(1, least(length(a) - i + 1, length(b)) + 1), lambda k: contains(b, substring(a, i, k))), 0)) - i))"
+    return f"""{name}_pairs AS ({pairs}),
+    {name}_parts AS (SELECT q, t, q AS a, t AS b, CAST(0 AS BIGINT) AS n FROM {name}_pairs UNION ALL
+    SELECT q, t, unnest([substring(a, 1, i - 1), substring(a, i + k, 100000)]) AS a, unnest([substring(b, 1, j - 1), substring(b, j + k, 100000)]) AS b, unnest([k, 0]) AS n FROM (
+    SELECT *, strpos(b, substring(a, i, k)) AS j FROM (SELECT *, k * 100000 - m AS i FROM (SELECT *, (m + 99999) // 100000 AS k FROM (
+    SELECT *, CAST({longest} AS BIGINT) AS m FROM {name}_parts WHERE a <> '' AND b <> '')) WHERE k > 0))),
+    {name} AS (SELECT q, t, 2 * sum(n) / CAST(length(q) + length(t) AS DOUBLE) AS r FROM {name}_parts GROUP BY q, t)"""
+
+
+_OPEN = "NOT exact AND (containment > 0 OR 0.55::DOUBLE * jaccard + 0.45::DOUBLE * ratio_bound >= 0.42::DOUBLE)"
+TITLES = f"""{LEXICAL}, {ratios('alike', f'SELECT DISTINCT query AS q, title AS t FROM lexical WHERE {_OPEN}')},
+    titles AS (SELECT manual_id, line_id, query, 1::DOUBLE AS title_score, ['normalized_exact_title'] AS title_reasons FROM lexical WHERE exact UNION ALL SELECT manual_id, line_id, query, title_score, title_reasons FROM (
+    SELECT *, least(1, greatest(0.55::DOUBLE * jaccard + 0.45::DOUBLE * r, containment)) AS title_score, list_filter([CASE WHEN containment > 0 THEN 'normalized_token_containment' END,
+    CASE WHEN jaccard >= 0.8::DOUBLE THEN 'high_token_overlap' END, CASE WHEN r >= 0.85::DOUBLE THEN 'high_sequence_similarity' END], lambda x: x IS NOT NULL) AS title_reasons
+    FROM lexical JOIN alike ON q = query AND t = title WHERE {_OPEN}) WHERE title_score >= 0.42::DOUBLE)"""
+
+CANDIDATES = f"""{HEADINGS}, {TITLES},
+    shown AS (SELECT s.*, l.text, l.page_id, l.pdf_page_number, l.page_index, l.block_index, l.line_index, l.height, coalesce(is_toc, false) AS is_toc, h.heading_score, {section_label('l.text')} AS section_label,
+    list_concat(title_reasons, list_filter([CASE WHEN {section_label('l.text')} IS NOT NULL THEN 'numbered_heading_candidate' END, CASE WHEN length({stripped('l.text')}) <= 80 THEN 'short_line' END,
+    CASE WHEN l.top_fraction <= 0.22 THEN 'near_page_top' END, CASE WHEN med > 0 AND l.height >= med * 1.15::DOUBLE THEN 'larger_than_page_body' END], lambda x: x IS NOT NULL)) AS reasons,
+    CASE WHEN l.page_quality = 'SUSPECT' THEN 0.06::DOUBLE WHEN l.page_quality IN ('EMPTY', 'UNUSABLE') THEN 0.40::DOUBLE ELSE 0 END + CASE WHEN contains(l.text, chr(65533)) THEN 0.10::DOUBLE ELSE 0 END AS quality_penalty
+    FROM titles s JOIN lines l USING (manual_id, line_id) JOIN headings h USING (manual_id, line_id) JOIN medians USING (manual_id, page_id) LEFT JOIN toc_pages p USING (manual_id, page_id)),
+    weighed AS (SELECT *, CASE WHEN bool_or(is_toc AND title_score >= 0.72::DOUBLE) OVER (PARTITION BY manual_id) AND NOT is_toc THEN 0.07::DOUBLE ELSE 0 END AS toc_support, CASE WHEN is_toc THEN 0.58::DOUBLE ELSE 0 END AS toc_penalty FROM shown),
+    found AS (SELECT *, CAST(row_number() OVER (PARTITION BY manual_id ORDER BY final_score DESC, title_score DESC, heading_score DESC, pdf_page_number, page_index, block_index, line_index, line_id) AS INTEGER) AS rank FROM (
+    SELECT *, greatest(0, least(1, 0.74::DOUBLE * title_score + 0.26::DOUBLE * heading_score + toc_support - toc_penalty - quality_penalty)) AS final_score FROM weighed))"""
+
+DECISIONS = """decided AS (SELECT *, CASE WHEN deterministic_status = 'FOUND_HIGH_CONFIDENCE' THEN deterministic_status ELSE 'NEEDS_SEMANTIC_LOCALIZATION' END AS status FROM (
+    SELECT *, CASE WHEN top IS NULL OR top < 0.50::DOUBLE THEN 'NOT_FOUND' WHEN top >= 0.82::DOUBLE AND margin >= 0.10::DOUBLE THEN 'FOUND_HIGH_CONFIDENCE' WHEN top >= 0.68::DOUBLE AND margin < 0.08::DOUBLE AND candidates > 1 THEN 'MULTIPLE_CANDIDATES'
+    ELSE 'FOUND_LOW_CONFIDENCE' END AS deterministic_status FROM (SELECT q.manual_id, q.query, line_id, top, coalesce(top - coalesce(second, 0), 0) AS margin, coalesce(candidates, 0) AS candidates FROM lessons q LEFT JOIN (
+    SELECT manual_id, max(final_score) FILTER (WHERE rank = 1) AS top, max(final_score) FILTER (WHERE rank = 2) AS second, max(line_id) FILTER (WHERE rank = 1) AS line_id, count(*) AS candidates FROM found GROUP BY manual_id) USING (manual_id))))"""
+
+_PATH = "list_transform(string_split({c}, '.'), lambda x: CAST(x AS BIGINT))"
+ANCHORS = f"""anchors AS (SELECT d.manual_id, d.query, d.line_id, l.pdf_page_number, l.page_index, l.block_index, l.line_index, l.height, {section_label('l.text')} AS section FROM decided d JOIN lines l USING (manual_id, line_id) WHERE deterministic_status = 'FOUND_HIGH_CONFIDENCE')"""
+EXPECTED = f"""fitting AS (SELECT a.manual_id, coalesce(min(e.pos) FILTER (WHERE contains(e.normalized_title, a.query) OR contains(a.query, e.normalized_title)), CASE WHEN count(*) = 1 THEN min(e.pos) END) AS pos FROM anchors a JOIN entries e USING (manual_id, section) GROUP BY a.manual_id),
+    after AS (SELECT f.manual_id, f.pos, min(b.pos) AS next_pos FROM fitting f JOIN entries a ON a.manual_id = f.manual_id AND a.pos = f.pos JOIN entries b ON a.manual_id = b.manual_id AND b.pos > a.pos AND b.depth <= a.depth GROUP BY f.manual_id, f.pos),
+    due AS (SELECT x.manual_id, n.title AS expected_title, n.normalized_title AS expected, n.printed_page AS expected_printed_page, n.printed_page + a.pdf_page_number - c.printed_page AS page FROM after x
+    JOIN entries c ON c.manual_id = x.manual_id AND c.pos = x.pos JOIN entries n ON n.manual_id = x.manual_id AND n.pos = x.next_pos JOIN anchors a ON a.manual_id = x.manual_id),
+    near AS (SELECT * FROM (SELECT l.*, d.expected, {match_form('l.text')} AS own, CASE WHEN l.top_fraction <= 0.35 THEN 0.08::DOUBLE ELSE 0 END + CASE WHEN length({stripped('l.text')}) <= 180 THEN 0.04::DOUBLE ELSE 0 END AS bonus
+    FROM lines l JOIN due d ON l.manual_id = d.manual_id AND l.pdf_page_number BETWEEN d.page - 2 AND d.page + 2) WHERE own <> ''),
+    {ratios('close', "SELECT DISTINCT expected AS q, own AS t FROM near WHERE NOT contains(own, expected) AND 2 * least(length(own), length(expected)) / CAST(length(own) + length(expected) AS DOUBLE) + bonus >= 0.68::DOUBLE")},
+    rated AS (SELECT *, CASE WHEN contains(own, expected) THEN 1 ELSE r END + bonus AS score FROM near LEFT JOIN close ON q = expected AND t = own WHERE contains(own, expected) OR r IS NOT NULL),
+    ahead AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY manual_id ORDER BY score DESC, page_index, block_index, line_index) AS n FROM rated WHERE score >= 0.68::DOUBLE) WHERE n = 1),
+    boundary AS (SELECT d.manual_id, expected_title, expected_printed_page, line_id, score FROM due d LEFT JOIN ahead USING (manual_id))"""
+REGIONS = f"""sections AS (SELECT *, {_PATH.format(c=section_label('text'))} AS path FROM lines WHERE {section_label('text')} IS NOT NULL),
+    peers AS (SELECT * FROM (SELECT l.manual_id, l.line_id, row_number() OVER (PARTITION BY l.manual_id ORDER BY CASE WHEN l.path[-1] = p.path[-1] + 1 THEN 1 ELSE 2 END, l.page_index, l.block_index, l.line_index, l.line_id) AS n
+    FROM sections l JOIN (SELECT *, {_PATH.format(c='section')} AS path FROM anchors WHERE section IS NOT NULL) p ON l.manual_id = p.manual_id AND (l.page_index, l.block_index, l.line_index) > (p.page_index, p.block_index, p.line_index)
+    WHERE len(l.path) = len(p.path) AND l.path[1:len(l.path)-1] = p.path[1:len(p.path)-1] AND l.path[-1] > p.path[-1] AND {count(match_form(without_section('l.text')), chr(92) + 'p{L}')} >= 3 AND length({stripped('l.text')}) <= 180
+    AND (l.height <= 0 OR p.height <= 0 OR l.height >= 0.8::DOUBLE * p.height OR l.top_fraction <= 0.35)) WHERE n = 1),
+    ends AS (SELECT a.manual_id, a.line_id AS start_line_id, a.pdf_page_number AS start_page, coalesce(b.line_id, p.line_id) AS end_line_id, CASE WHEN b.line_id IS NOT NULL THEN 'TOC_CONFIRMED' WHEN p.line_id IS NOT NULL THEN 'BODY_HEADING_INFERENCE' END AS source,
+    expected_title, expected_printed_page FROM anchors a LEFT JOIN boundary b USING (manual_id) LEFT JOIN peers p USING (manual_id)),
+    counts AS (SELECT manual_id, max(pdf_page_number) AS page_count FROM manual_pages GROUP BY manual_id),
+    sized AS (SELECT e.*, c.page_count, l.pdf_page_number AS end_found, coalesce(l.pdf_page_number, least(page_count, start_page + 4)) AS end_page FROM ends e LEFT JOIN counts c USING (manual_id) LEFT JOIN lines l ON l.manual_id = e.manual_id AND l.line_id = e.end_line_id)"""
+REGION = """SELECT manual_id, 1 AS query_id, start_line_id, end_line_id, source, expected_title, expected_printed_page, start_page, end_page,
+    array_to_string(list_transform(range(greatest(1, start_page - 1), start_page), lambda p: printf('p%04d', p)), ',') AS context_before,
+    array_to_string(list_transform(range(greatest(1, end_page), least(page_count, end_page) + 1), lambda p: printf('p%04d', p)), ',') AS context_after,
+    CASE WHEN end_found IS NOT NULL THEN 'exclusive_next_peer_heading' ELSE 'fallback_fixed_page_window' END AS boundary_policy, end_page < start_page AS reversed FROM sized"""
+
+
 def chunks(words: int, overlap: int, least: int) -> str:
     step = words - overlap
     return f"""tok AS (SELECT manual_id, page_id, pdf_page_number, line_id, block_index, line_index, unnest(list_filter(regexp_split_to_array(text, '{WS}+'), lambda w: w <> '')) AS w, generate_subscripts(list_filter(regexp_split_to_array(text, '{WS}+'), lambda w: w <> ''), 1) AS i FROM lines),

@@ -205,7 +205,9 @@ def title_score_lexical(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("manual_id", "line_id", "exact", *[F.round(c, 6).alias(c) for c in ("jaccard", "containment", "ratio_bound")])
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.LESSONS}, {Q.TITLES} SELECT manual_id, line_id, round(title_score, 6) AS title_score, array_to_string(title_reasons, ',') AS reasons FROM titles"""
+)
 def title_score_full(spark: SparkSession, folder: str) -> DataFrame:
     """Title scores with sequence similarity."""
     own = locate.prepared_lines(_lines(spark, folder)).join(locate.prepared_queries(_lessons(spark, folder)), "manual_id")
@@ -224,7 +226,11 @@ def _found(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     return own, q, cut_lineage(locate.candidates(own, q, contents.toc_pages(own, _pages(spark, folder))))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES} SELECT manual_id, 1 AS query_id, rank, line_id, section_label,
+        round(title_score, 4) AS title_score, round(heading_score, 4) AS heading_score, round(toc_support, 4) AS toc_support, round(toc_penalty, 4) AS toc_penalty, round(quality_penalty, 4) AS quality_penalty, round(final_score, 4) AS final_score,
+        array_to_string(reasons, ',') AS reasons FROM found"""
+)
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Ranked candidates."""
     _, _, found = _found(spark, folder)
@@ -232,14 +238,20 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("manual_id", "query_id", "rank", "line_id", "section_label", *scores, F.array_join("reasons", ",").alias("reasons"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES}, {Q.DECISIONS}
+        SELECT manual_id, 1 AS query_id, query, line_id, round(top, 4) AS top, round(margin, 4) AS margin, candidates, deterministic_status, status FROM decided"""
+)
 def decisions(spark: SparkSession, folder: str) -> DataFrame:
     """The decision for each query."""
     _, q, found = _found(spark, folder)
     return locate.decisions(found, q).select("manual_id", "query_id", "query", "line_id", F.round("top", 4).alias("top"), F.round("margin", 4).alias("margin"), "candidates", "deterministic_status", "status")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES} SELECT manual_id, 1 AS query_id, n, page_id, pdf_page_number, line_id, text, match_score FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY manual_id ORDER BY page_index, block_index, line_index, line_id) AS INTEGER) AS n, round(title_score, 4) AS match_score FROM found WHERE is_toc AND title_score >= 0.72::DOUBLE) WHERE n <= 10"""
+)
 def toc_support(spark: SparkSession, folder: str) -> DataFrame:
     """Contents lines that support a query."""
     _, _, found = _found(spark, folder)
@@ -262,14 +274,19 @@ def next_peer_heading(spark: SparkSession, folder: str) -> DataFrame:
     return locate.next_peer_headings(a, own).select("manual_id", "line_id")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES}, {Q.DECISIONS}, {Q.ANCHORS}, {Q.ENTRIES}, {Q.EXPECTED}
+        SELECT manual_id, 1 AS query_id, expected_title, expected_printed_page, line_id, round(score, 4) AS score FROM boundary"""
+)
 def expected_boundary(spark: SparkSession, folder: str) -> DataFrame:
     """The next contents entry's heading near its page."""
     own, entries, a = _anchored(spark, folder)
     return locate.expected_boundaries(a, entries, own).withColumn("score", F.round("score", 4))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES}, {Q.DECISIONS}, {Q.ANCHORS}, {Q.ENTRIES}, {Q.EXPECTED}, {Q.REGIONS} {Q.REGION}"""
+)
 def region_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Evidence regions of the queries found with high confidence."""
     own, entries, a = _anchored(spark, folder)
