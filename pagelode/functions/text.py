@@ -1,6 +1,6 @@
 """Column functions over text: white space, repair, folding, section numbers and contents lines.
 
-Everything is a built-in expression but :func:`folded` and :func:`composed`, which need Unicode normal forms.
+Everything is a built-in expression but Unicode normal forms, which only the texts that need them go through.
 """
 
 from __future__ import annotations
@@ -28,23 +28,40 @@ C1_FROM = "".join(k for k, v in C1.items() if v)
 C1_TO = "".join(v for v in C1.values() if v)
 
 
+#: A text without any of these characters is in composed form: marks, conjoining letters, and what has another canonical form.
+UNCOMPOSED = "[\\p{M}\u0340-\u0345\u0374\u037e\u0387\u0958-\u0fff\u1100-\u11ff\u1f00-\u1fff\u2000\u2001\u2126\u212a\u212b\u2329\u232a\u2adc\uf900-\ufaff\ufb1d-\ufb4f\\x{11000}-\\x{2ffff}]"
+# Letters that most texts here hold, and what folding makes of them.
+PLAIN_FROM, PLAIN_TO = "ăâîșțşţáéíóúàèìòùäöüçñêôĂÂÎȘȚŞŢÁÉÍÓÚÀÈÌÒÙÄÖÜÇÑÊÔ", "aaiststaeiouaeiouaoucneo" * 2
+#: After these letters are made plain, a text with any other character than ASCII and common signs needs the full folding.
+UNPLAIN = "[\\x{80}-\\x{10ffff}&&[^„“”‘’«»–—…·•²³°→←∈√∫∪∩≤≥∞\u00a0]]"
+
+
 @pandas_udf(StringType())
-def composed(s: pd.Series) -> pd.Series:
-    """Canonical composition; null becomes the empty string."""
-    return s.fillna("").map(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t))
+def _composed(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+
+def composed(c: Column) -> Column:
+    """Canonical composition; null becomes the empty string. Only texts that can change leave the JVM."""
+    odd = c.rlike(UNCOMPOSED)
+    return F.coalesce(F.when(odd, _composed(F.when(odd, c))).otherwise(c), F.lit(""))
 
 
 def _fold(text: str) -> str:
-    if text.isascii():
-        return text.lower()
     text = unicodedata.normalize("NFD", text)
     return "".join(c for c in text if unicodedata.category(c) != "Mn").casefold()
 
 
 @pandas_udf(StringType())
-def folded(s: pd.Series) -> pd.Series:
-    """Without diacritics and case; null becomes the empty string."""
-    return s.fillna("").map(_fold)
+def _folded(s: pd.Series) -> pd.Series:
+    return s.map(_fold, na_action="ignore")
+
+
+def folded(c: Column) -> Column:
+    """Without diacritics and case; null becomes the empty string. Texts of plain letters and signs stay in the JVM."""
+    plain = F.translate(c, PLAIN_FROM, PLAIN_TO)
+    odd = plain.rlike(UNPLAIN)
+    return F.coalesce(F.when(odd, _folded(F.when(odd, c))).otherwise(F.lower(plain)), F.lit(""))
 
 
 def stripped(c: Column) -> Column:

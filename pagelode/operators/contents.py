@@ -14,8 +14,8 @@ SHOWN = 0.30
 def toc_pages(lines: DataFrame, pages: DataFrame) -> DataFrame:
     """Features and score of every page: (manual_id, page_id, dots, numbered, lines, score, is_toc); pages without lines score 0."""
     text = F.col("text")
-    # Only a line that is short and says so can be the title of the contents: few lines reach the normal form.
-    titled = match_form(text)
+    # Only a line whose first letter folds to c can say that the contents follow: the others never reach the normal form.
+    titled = match_form(F.when(text.rlike(r"^[^\p{L}\p{N}_]*[cCçÇĆ-čḈḉ]"), text))
     size = F.length(stripped(text))
     flat = lines.select("manual_id", "page_id", has_leader(text).alias("dot"), is_numbered(text).alias("num"), size.between(3, 120).alias("short"), titled.alias("title"))
     found = flat.groupBy("manual_id", "page_id").agg(

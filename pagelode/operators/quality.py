@@ -20,7 +20,7 @@ def choose_layer(native: DataFrame, alternative: DataFrame, policy: str = "auto"
     """One row for each page with the chosen layer and its warnings.
 
     Both inputs have (manual_id, page_id, status, control_ratio, replacement_ratio), one row for each page; the join
-    fails where a page has no counterpart. The alternative counts for a manual only if the policy or a native page of
+    fails where a page of either has no counterpart. The alternative counts for a manual only if the policy or a native page of
     it (SUSPECT or UNUSABLE) calls for it.
     """
     if policy not in ("auto", "native", "poppler"):
@@ -29,12 +29,12 @@ def choose_layer(native: DataFrame, alternative: DataFrame, policy: str = "auto"
         raise ValueError("policy poppler needs the tool")
     keys = ["manual_id", "page_id"]
     names = ["status", "control_ratio", "replacement_ratio"]
-    left = native.select(*keys, *[F.col(c).alias(f"native_{c}") for c in names])
+    left = native.select(*keys, *[F.col(c).alias(f"native_{c}") for c in names], F.lit(True).alias("own"))
     right = alternative.select(*keys, *[F.col(c).alias(f"alt_{c}") for c in names], F.lit(True).alias("paired"))
     poor = F.col("native_status").isin("SUSPECT", "UNUSABLE")
     trouble = left.groupBy("manual_id").agg(F.bool_or(poor).alias("trouble"))
-    both = left.join(right, keys, "left").join(trouble, "manual_id")
-    both = both.where(F.coalesce(F.col("paired"), F.raise_error(F.lit("page counts of the text layers differ")).cast("boolean")))
+    both = left.join(right, keys, "full").join(trouble, "manual_id", "left")
+    both = both.where(F.coalesce(F.col("paired") & F.col("own"), F.raise_error(F.lit("page counts of the text layers differ")).cast("boolean")))
     better = (status_rank(F.col("alt_status")) > status_rank(F.col("native_status"))) | (
         poor & ((F.col("alt_replacement_ratio") < F.col("native_replacement_ratio")) | (F.col("alt_control_ratio") < F.col("native_control_ratio")))
     )

@@ -45,6 +45,6 @@ def location_report(results: DataFrame) -> DataFrame:
 
 
 def search_report(matches: DataFrame) -> DataFrame:
-    """(query_id, report) of search matches (query_id, rank, score, chunk columns)."""
-    row = F.format_string("  %d. %.4f p.%d%s %s [%s - %s] %s", "rank", "score", "pdf_page_number", F.when(F.col("is_toc_page"), " [TOC]").otherwise(""), "chunk_id", "start_line_id", "end_line_id", snippet(F.col("text")))
-    return matches.withColumn("row", row).groupBy("query_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "row"))), lambda x: x["row"]), "\n").alias("report"))
+    """(manual_id, query_id, report) of search matches (manual_id, query_id, rank, score, chunk columns)."""
+    row = F.format_string("  %d. %.6f p.%d%s %s [%s - %s] %s", "rank", "score", "pdf_page_number", F.when(F.col("is_toc_page"), " [TOC]").otherwise(""), "chunk_id", "start_line_id", "end_line_id", snippet(F.col("text")))
+    return matches.withColumn("row", row).groupBy("manual_id", "query_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "row"))), lambda x: x["row"]), "\n").alias("report"))

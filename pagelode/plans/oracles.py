@@ -233,6 +233,17 @@ def chunks(words: int, overlap: int, least: int) -> str:
     {search_repair("array_to_string(cw, ' ')")} AS embedding_text, CAST(len(cw) AS INTEGER) AS word_count, coalesce(is_toc, false) AS is_toc_page FROM cut LEFT JOIN toc_pages USING (manual_id, page_id))"""
 
 
+#: Signed hashes of words as vectors, and the 15 chunks of each manual that are nearest to its lesson title.
+HASHED = f"""asked AS (SELECT manual_id, title FROM (SELECT manual_id, title, row_number() OVER (PARTITION BY manual_id ORDER BY line_id, title) AS n FROM toc_entries WHERE title IS NOT NULL) WHERE n = 1),
+    said AS (SELECT manual_id, chunk_id, unnest(string_split('passage: ' || embedding_text, ' ')) AS w FROM chunks UNION ALL SELECT manual_id, NULL, unnest(string_split('query: ' || {search_repair('title')}, ' ')) FROM asked),
+    placed AS (SELECT manual_id, chunk_id, h % 64 AS d, CASE WHEN h & 65536 <> 0 THEN 1 ELSE -1 END AS s FROM (SELECT *, CAST('0x' || md5(w)[1:8] AS BIGINT) AS h FROM said WHERE w <> '')),
+    parts AS (SELECT manual_id, chunk_id, d, CAST(sum(s) AS BIGINT) AS v FROM placed GROUP BY ALL),
+    norms AS (SELECT manual_id, chunk_id, sqrt(sum(v * v)) AS norm FROM parts GROUP BY ALL),
+    dots AS (SELECT c.manual_id, c.chunk_id, CAST(sum(CASE WHEN c.d = q.d THEN c.v * q.v ELSE 0 END) AS DOUBLE) AS dot FROM parts c JOIN parts q ON q.manual_id = c.manual_id AND q.chunk_id IS NULL WHERE c.chunk_id IS NOT NULL GROUP BY ALL),
+    best AS (SELECT manual_id, chunk_id, CAST(rank AS INTEGER) AS rank, score FROM (SELECT d.manual_id, d.chunk_id, round(dot / greatest(c.norm * q.norm, 1e-9), 6) AS score, row_number() OVER (PARTITION BY d.manual_id ORDER BY round(dot / greatest(c.norm * q.norm, 1e-9), 9) DESC, d.chunk_id) AS rank
+    FROM dots d JOIN norms c ON c.manual_id = d.manual_id AND c.chunk_id = d.chunk_id JOIN norms q ON q.manual_id = d.manual_id AND q.chunk_id IS NULL) WHERE rank <= 15)"""
+
+
 REPORT = """WITH c AS (SELECT manual_id, 'status' AS dimension, page_quality AS value, count(*) AS pages FROM manual_pages GROUP BY ALL UNION ALL SELECT manual_id, 'backend', backend, count(*) FROM manual_pages GROUP BY ALL),
     t AS (SELECT manual_id, string_agg('  ' || coalesce(value, '?') || ': ' || pages || ' page(s)', chr(10) ORDER BY value NULLS FIRST) FILTER (WHERE dimension = 'backend') AS backends,
     string_agg('  ' || coalesce(value, '?') || ': ' || pages || ' page(s)', chr(10) ORDER BY value NULLS FIRST) FILTER (WHERE dimension = 'status') AS statuses FROM c GROUP BY manual_id)

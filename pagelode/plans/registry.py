@@ -11,8 +11,8 @@ from pagelode.functions import similarity as S
 from pagelode.functions import text as X
 from pagelode.operators import contents, lines, locate, quality, reports, vectors
 from pagelode.plans import oracles as Q
-from pagelode.session import cut_lineage
-from pagelode.sources import sinks
+from pagelode.session import cut_lineage, shared_path
+from pagelode.sources import index, sinks
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -379,41 +379,49 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     return scored.orderBy(F.desc("score"), "vec_id").limit(15)
 
 
-def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    chunks = _chunks(spark, folder)
-    return chunks, vectors.encoded(chunks, "embedding_text", vectors.hashing_encoder).select("chunk_id", "embedding")
+def _index(spark: SparkSession, folder: str) -> tuple[index.Index, DataFrame]:
+    """The index of all manuals, written and read back, and the lesson titles as queries."""
+    keys = index.index_keys(read_table(spark, folder, "manuals"), "hashing")
+    held = index.ensure_index(spark, shared_path(spark, "index"), keys, _chunks(spark, folder), vectors.hashing_encoder, element="double")
+    return held, _lessons(spark, folder).select("manual_id", "query_id", F.col("title").alias("query"))
 
 
-@query()
+@query(
+    f"""WITH {Q.LINES}, {Q.TOC_PAGES}, {Q.chunks(220, 60, 30)}, {Q.HASHED} SELECT manual_id, 1 AS query_id, rank, score, chunk_id, pdf_page_number, start_line_id, end_line_id, is_toc_page, text FROM best JOIN chunks USING (manual_id, chunk_id)"""
+)
 def search_result(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks encoded and searched with every lesson title whose manual has one."""
-    chunks, v = _encoded(spark, folder)
-    q = _lessons(spark, folder).select(F.dense_rank().over(_all_by("manual_id")).alias("query_id"), X.search_repair(F.col("title")).alias("title"))
-    q = vectors.encoded(q, "title", vectors.hashing_encoder, prefix="query: ").select("query_id", F.col("embedding").alias("query"))
-    best = vectors.top_k(v, q, 15, "chunk_id")
-    return best.join(chunks, "chunk_id").select("query_id", "rank", F.round("score", 6).alias("score"), "chunk_id", "manual_id", "pdf_page_number", "start_line_id", "end_line_id", "is_toc_page", "text")
-
-
-def _all_by(column: str):
-    from pyspark.sql import Window
+    """Every manual's chunks encoded, indexed and searched with its lesson title."""
+    held, q = _index(spark, folder)
+    return index.search(held, q, vectors.hashing_encoder, element="double").select("manual_id", "query_id", "rank", "score", "chunk_id", "pdf_page_number", "start_line_id", "end_line_id", "is_toc_page", "text")
 
-    return Window.orderBy(column)  # one row for each manual: a stated query set
 
-
-@query()
+@query(
+    f"""WITH {Q.LINES}, {Q.TOC_PAGES}, {Q.chunks(220, 60, 30)}, {Q.HASHED} SELECT manual_id, 1 AS query_id, string_agg(printf('  %d. %.6f p.%d%s %s [%s - %s] ', rank, score, pdf_page_number, CASE WHEN is_toc_page THEN ' [TOC]' ELSE '' END, chunk_id, start_line_id, end_line_id) || {Q.snippet('text')}, chr(10) ORDER BY rank) AS report
+        FROM best JOIN chunks USING (manual_id, chunk_id) GROUP BY manual_id"""
+)
 def search_report(spark: SparkSession, folder: str) -> DataFrame:
     """K8: search results as text."""
     return reports.search_report(search_result(spark, folder))
 
 
-@query(f"WITH {Q.LINES}, {Q.TOC_PAGES}, {Q.chunks(220, 60, 30)} SELECT 'hashing' AS model_name, count(*) AS chunk_count, 64 AS embedding_dimension, count(DISTINCT CASE WHEN is_toc_page THEN (manual_id, page_id) END) AS toc_page_count, true AS \"current\", CAST(0 AS BIGINT) AS misaligned FROM chunks")
+@query(
+    f"""WITH {Q.LINES}, {Q.TOC_PAGES}, {Q.chunks(220, 60, 30)}, c AS (SELECT manual_id, count(*) AS chunk_count, count(DISTINCT CASE WHEN is_toc_page THEN page_id END) AS toc_page_count FROM chunks GROUP BY manual_id)
+        SELECT manual_id, sha256 AS source_sha256, 'hashing' AS model_name, 220 AS chunk_words, 60 AS overlap_words, coalesce(chunk_count, 0) AS chunk_count, CASE WHEN chunk_count > 0 THEN 64 ELSE 0 END AS embedding_dimension, coalesce(toc_page_count, 0) AS toc_page_count
+        FROM manuals LEFT JOIN c USING (manual_id)"""
+)
 def index_meta(spark: SparkSession, folder: str) -> DataFrame:
-    """The description of an index, its validity, and rows without a counterpart."""
-    chunks, v = _encoded(spark, folder)
-    key = {"model_name": "hashing", "chunk_words": 220, "overlap_words": 60, "index_version": "1"}
-    meta = vectors.index_meta(chunks, v, key)
-    wrong = vectors.misaligned(chunks, v).agg(F.count("*").alias("misaligned"))
-    return meta.crossJoin(vectors.is_current(meta, key)).crossJoin(wrong).select("model_name", "chunk_count", "embedding_dimension", "toc_page_count", "current", "misaligned")
+    """The descriptions of an index that was written, checked and read back."""
+    return _index(spark, folder)[0].meta.drop("index_version")
+
+
+@query("SELECT manual_id, CASE WHEN page_count % 2 = 0 THEN 'source_sha256' ELSE 'new' END AS reason FROM manuals WHERE page_count % 2 = 0 OR page_count IS NULL")
+def index_stale(spark: SparkSession, folder: str) -> DataFrame:
+    """Manuals to build again: of even page counts the source has changed here, those without a page count were never built."""
+    keys = index.index_keys(read_table(spark, folder, "manuals"), "hashing")
+    pages = read_table(spark, folder, "manuals").select("manual_id", "page_count")
+    stored = keys.join(pages, "manual_id").where("page_count IS NOT NULL").withColumn("source_sha256", F.when(F.col("page_count") % 2 == 0, "another").otherwise(F.col("source_sha256")))
+    todo = vectors.stale(stored, keys).select("manual_id")
+    return todo.join(stored.select("manual_id", F.lit("source_sha256").alias("reason")), "manual_id", "left").fillna("new", ["reason"])
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:

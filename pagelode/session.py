@@ -29,6 +29,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagelode-checkpoint-"))
 
 
@@ -41,18 +43,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; what stands there is removed when the driver's process ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/pagelode-{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_remove_written)
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed table into the shared checkpoint folder and read it from there.
 
     Like :func:`cut_lineage` for wide tables: columns are compressed and later steps read only those they need. The table
     is removed when the driver's process ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/pagelode-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "table")
     df.write.parquet(path)
-    if not _WRITTEN:
-        atexit.register(_remove_written)
-    _WRITTEN.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
