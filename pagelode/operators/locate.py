@@ -14,6 +14,7 @@ from pagelode.functions.text import line_title, match_form, section_label, secti
 from pagelode.operators.contents import immediate_peer, later_peer, matching_entry, next_entries
 from pagelode.session import cut_lineage
 
+VERSION = "1"
 ORDER = ["page_index", "block_index", "line_index", "line_id"]
 
 

@@ -1,26 +1,15 @@
-"""PDF text layers, where a PDF library or tool is at hand.
-
-The engine's tables don't need this module: canonical pages are its input. Without the library, reading raises.
-"""
+"""The PDF library and the text tool, where they are at hand."""
 
 from __future__ import annotations
 
 import shutil
 import subprocess
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-
-from pagelode.functions.text import SPACE  # noqa: F401  (the same white space rule holds for extracted text)
 
 try:
     import pymupdf
 except ImportError:
     pymupdf = None
 
-NATIVE = "path string, page_index int, page_count int, width double, height double, rotation int, page_label string, block_index int, line_index int, text string, bbox array<double>, size double, flags int"
-
 
 def find_tool(explicit: str | None = None, timeout: float = 10.0) -> tuple[str, str] | None:
     """Path and version of pdftotext, or None where it is missing or doesn't answer."""
@@ -33,23 +22,3 @@ def find_tool(explicit: str | None = None, timeout: float = 10.0) -> tuple[str,
         return None
     lines = (said.stderr or said.stdout).splitlines()
     return path, lines[0] if lines else "unknown"
-
-
-def read_native(spark: SparkSession, path: str) -> DataFrame:
-    """Spans of the native text layer of PDF files, one task a file."""
-    if pymupdf is None:
-        raise RuntimeError("reading PDF files needs PyMuPDF, which is not installed")
-
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for name, content in zip(frame["path"], frame["content"]):
-                with pymupdf.open(stream=content, filetype="pdf") as doc:
-                    for n, page in enumerate(doc):
-                        for b, block in enumerate(page.get_text("dict")["blocks"]):
-                            for k, line in enumerate(block.get("lines", [])):
-                                for span in line["spans"]:
-                                    rows.append((name, n, doc.page_count, page.rect.width, page.rect.height, page.rotation, page.get_label() or "", b, k, span["text"], [round(x, 3) for x in span["bbox"]], span["size"], span["flags"]))
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in NATIVE.split(", ")])
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content").mapInPandas(parse, NATIVE)
