@@ -221,19 +221,16 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large and small stars (each form's neighbours above it, then below it, are linked to the least of them) until
     nothing changes.
     """
-    edges = cut_lineage(edges.select("content", F.greatest("fid", "lead").alias("u"), F.least("fid", "lead").alias("v")).distinct())
-    while True:
-        around = edges.union(edges.select("content", F.col("v").alias("u"), F.col("u").alias("v")))
+    pairs = cut_lineage(edges.select("content", F.greatest("fid", "lead").alias("u"), F.least("fid", "lead").alias("v")).distinct())
+    seen = None
+    while seen != (seen := pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("content", "u", "v"))).first()) and seen[0]:
+        around = pairs.union(pairs.select("content", F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("content", "u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = around.join(least, ["content", "u"]).where("v > u").select("content", F.col("v").alias("u"), F.col("m").alias("v"))
         below = large.groupBy("content", "u").agg(F.min("v").alias("m"))
         small = large.join(below, ["content", "u"]).select("content", F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v")
-        new = cut_lineage(small.distinct())
-        same = new.join(edges, ["content", "u", "v"], "leftsemi").count()
-        done = same == new.count() == edges.count()
-        edges = new
-        if done:
-            return edges.select("content", F.col("u").alias("fid"), F.col("v").alias("root")).union(edges.select("content", F.col("v").alias("fid"), F.col("v").alias("root"))).distinct()
+        pairs = cut_lineage(small.distinct())
+    return pairs.select("content", F.col("u").alias("fid"), F.col("v").alias("root")).union(pairs.select("content", F.col("v").alias("fid"), F.col("v").alias("root"))).distinct()
 
 
 def repeated_lines(lines: DataFrame, pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
