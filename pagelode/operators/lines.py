@@ -22,8 +22,9 @@ def with_geometry(lines: DataFrame) -> DataFrame:
     return out.withColumns({"height": F.greatest(F.lit(0.0), F.col("y1") - F.col("y0")), "top_fraction": F.when(F.col("page_height") <= 0, 1.0).otherwise(F.col("y0") / F.col("page_height"))})
 
 
-def source_ref(lines: DataFrame) -> DataFrame:
-    return lines.select("manual_id", "page_id", "pdf_page_number", "block_id", "line_id", "text")
+def source_ref(lines: DataFrame, *more: str) -> DataFrame:
+    """What a line is cited by, and further columns."""
+    return lines.select("manual_id", "page_id", "pdf_page_number", "block_id", "line_id", "text", *more)
 
 
 def page_texts(lines: DataFrame, pages: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def extraction_report(manuals: DataFrame, counts: DataFrame) -> DataFrame:
 
 def location_report(results: DataFrame) -> DataFrame:
     """(manual_id, query_id, report) of location results; at most five contents matches and candidates are shown."""
-    score = lambda c: F.format_string("%.3f", c)
+    score = lambda c: F.format_string("%.4f", c)
     matches = F.array_join(F.transform(F.slice("toc_matches", 1, 5), lambda m: F.format_string("  p.%d %s (%s)", m["pdf_page_number"], m["text"], score(m["match_score"]))), "\n")
     found = F.array_join(F.transform(F.slice("candidate_list", 1, 5), lambda c: F.format_string("  %d. p.%d %s [%s]", c["rank"], c["pdf_page_number"], c["text"], score(c["final_score"]))), "\n")
     region = F.when(

@@ -222,6 +222,22 @@ REGION = """SELECT manual_id, 1 AS query_id, start_line_id, end_line_id, source,
     CASE WHEN end_found IS NOT NULL THEN 'exclusive_next_peer_heading' ELSE 'fallback_fixed_page_window' END AS boundary_policy, end_page < start_page AS reversed FROM sized"""
 
 
+LOCATED = """listing AS (SELECT manual_id, count(*) AS listed, first(array_to_string(reasons, ',') ORDER BY rank) AS first_reasons FROM found WHERE rank <= 10 GROUP BY manual_id),
+    matching AS (SELECT *, row_number() OVER (PARTITION BY manual_id ORDER BY page_index, block_index, line_index, line_id) AS n FROM found WHERE is_toc AND title_score >= 0.72::DOUBLE),
+    matched AS (SELECT manual_id, string_agg(line_id, ',' ORDER BY n) AS matches, string_agg(printf('  p.%d %s (%.4f)', pdf_page_number, text, round(title_score, 4)), chr(10) ORDER BY n) FILTER (WHERE n <= 5) AS match_lines FROM matching WHERE n <= 10 GROUP BY manual_id),
+    shown_pages AS (SELECT manual_id, string_agg(printf('%s=%.4f', page_id, score), ',' ORDER BY page_id) AS toc_scores FROM toc_pages WHERE score >= 0.30::DOUBLE GROUP BY manual_id),
+    located AS (SELECT d.*, CASE WHEN z.start_line_id IS NOT NULL THEN d.line_id END AS anchor_line, z.end_line_id AS region_end, z.source, z.start_page, z.end_page, z.page_count, coalesce(listed, 0) AS listed, first_reasons, matches, match_lines, toc_scores
+    FROM decided d LEFT JOIN sized z USING (manual_id) LEFT JOIN listing USING (manual_id) LEFT JOIN matched USING (manual_id) LEFT JOIN shown_pages USING (manual_id))"""
+LOCATION_REPORT = """, offered AS (SELECT manual_id, string_agg(printf('  %d. p.%d %s [%.4f]', rank, pdf_page_number, text, round(final_score, 4)), chr(10) ORDER BY rank) AS lines FROM found WHERE rank <= 5 GROUP BY manual_id),
+    wanted AS (SELECT manual_id, title FROM (SELECT manual_id, title, row_number() OVER (PARTITION BY manual_id ORDER BY line_id, title) AS n FROM toc_entries WHERE title IS NOT NULL) WHERE n = 1)
+    SELECT x.manual_id, 1 AS query_id, concat_ws(chr(10), 'Location in ' || x.manual_id, 'Title: ' || title, 'Status: ' || status || ' (' || deterministic_status || ')',
+    CASE WHEN anchor_line IS NOT NULL THEN printf('Anchor: p.%d %s (%.4f)', a.pdf_page_number, a.text, round(top, 4)) END,
+    CASE WHEN anchor_line IS NULL THEN 'Region: none, the evidence is not decisive' ELSE printf('Region: pages %d-%d', start_page, end_page) || chr(10) || 'Starts at: ' || anchor_line || chr(10) || 'Ends: ' || coalesce('before ' || region_end, 'after a fixed number of pages') || chr(10) || 'Context: '
+    || coalesce(nullif(array_to_string(list_transform(list_concat(range(greatest(1, start_page - 1), start_page), range(greatest(1, end_page), least(page_count, end_page) + 1)), lambda p: printf('p%04d', p)), ', '), ''), 'none') END,
+    CASE WHEN match_lines IS NOT NULL THEN 'Contents:' || chr(10) || match_lines END, 'Candidates:', o.lines) AS report
+    FROM located x JOIN wanted USING (manual_id) LEFT JOIN lines a ON a.manual_id = x.manual_id AND a.line_id = anchor_line LEFT JOIN offered o ON o.manual_id = x.manual_id"""
+
+
 def chunks(words: int, overlap: int, least: int) -> str:
     step = words - overlap
     return f"""tok AS (SELECT manual_id, page_id, pdf_page_number, line_id, block_index, line_index, unnest(list_filter(regexp_split_to_array(text, '{WS}+'), lambda w: w <> '')) AS w, generate_subscripts(list_filter(regexp_split_to_array(text, '{WS}+'), lambda w: w <> ''), 1) AS i FROM lines),

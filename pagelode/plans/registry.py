@@ -12,7 +12,7 @@ from pagelode.functions import text as X
 from pagelode.operators import contents, lines, locate, quality, reports, vectors
 from pagelode.plans import oracles as Q
 from pagelode.session import cut_lineage, shared_path
-from pagelode.sources import index, sinks
+from pagelode.sources import canonical, index, sinks, xhtml
 from pagelode.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -302,14 +302,27 @@ def _located(spark: SparkSession, folder: str) -> DataFrame:
     return locate.locate(own, _lessons(spark, folder), scored, cut_lineage(contents.toc_entries(own, scored)), counts)
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES}, {Q.DECISIONS}, {Q.ANCHORS}, {Q.ENTRIES}, {Q.EXPECTED}, {Q.REGIONS}, {Q.LOCATED}
+        SELECT manual_id, 1 AS query_id, status, anchor_line, region_end, source, listed, first_reasons, matches, toc_scores FROM located"""
+)
 def location_result(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested results as JSON."""
+    """Nested results as JSON, of which some fields are read again."""
     out = _located(spark, folder)
-    return out.select("manual_id", "query_id", "status", F.to_json(F.struct(*out.columns)).alias("result"))
+    made = out.select("manual_id", "query_id", "status", F.to_json(F.struct(*out.columns)).alias("j"))
+    own = F.from_json("j", "anchor struct<line_id:string>, region struct<end_line_id:string,source:string>, candidate_list array<struct<reasons:array<string>>>, toc_matches array<struct<line_id:string>>, toc_page_scores map<string,double>")
+    x = made.withColumn("r", own)
+    scores = F.array_join(F.transform(F.sort_array(F.map_entries("r.toc_page_scores")), lambda e: F.format_string("%s=%.4f", e["key"], e["value"])), ",")
+    return x.select(
+        "manual_id", "query_id", "status", F.col("r.anchor.line_id").alias("anchor_line"), F.col("r.region.end_line_id").alias("region_end"), F.col("r.region.source").alias("source"),
+        F.coalesce(F.array_size("r.candidate_list"), F.lit(0)).cast("bigint").alias("listed"), F.array_join(F.get("r.candidate_list", 0)["reasons"], ",").alias("first_reasons"),
+        F.array_join(F.col("r.toc_matches.line_id"), ",").alias("matches"), scores.alias("toc_scores"),
+    )
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {Q.LINES}, {Q.TOC_PAGES}, {Q.LESSONS}, {Q.CANDIDATES}, {Q.DECISIONS}, {Q.ANCHORS}, {Q.ENTRIES}, {Q.EXPECTED}, {Q.REGIONS}, {Q.LOCATED} {Q.LOCATION_REPORT}"""
+)
 def location_report(spark: SparkSession, folder: str) -> DataFrame:
     """K7: readable results."""
     return reports.location_report(_located(spark, folder))
@@ -436,20 +449,67 @@ def extraction_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.extraction_report(read_table(spark, folder, "manuals"), _counts(spark, folder))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT manual_id, page_quality, backend, id FROM (SELECT manual_id, page_quality, backend, page_id AS id FROM manual_pages)),
+        s AS (SELECT manual_id, string_agg(v || '=' || n, ',' ORDER BY v) AS statuses FROM (SELECT manual_id, page_quality AS v, count(*) AS n FROM c WHERE page_quality IS NOT NULL GROUP BY ALL) GROUP BY manual_id),
+        b AS (SELECT manual_id, string_agg(v || '=' || n, ',' ORDER BY v) AS backends FROM (SELECT manual_id, backend AS v, count(*) AS n FROM c GROUP BY ALL) GROUP BY manual_id)
+        SELECT manual_id, filename, sha256, page_count, overall_status, coalesce(statuses, '') AS statuses, coalesce(backends, '') AS backends FROM manuals LEFT JOIN s USING (manual_id) LEFT JOIN b USING (manual_id)"""
+)
 def manifests(spark: SparkSession, folder: str) -> DataFrame:
-    """A JSON manifest for each manual."""
-    return sinks.manifest_rows(read_table(spark, folder, "manuals"), _counts(spark, folder))
+    """A JSON manifest for each manual, read again by the manifests' schema."""
+    made = sinks.manifest_rows(read_table(spark, folder, "manuals"), _counts(spark, folder))
+    own = made.withColumn("m", F.from_json("manifest", canonical.MANIFEST))
+    counts = lambda c: F.coalesce(F.array_join(F.transform(F.sort_array(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","), F.lit(""))
+    return own.select(
+        "manual_id", "m.source.filename", "m.source.sha256", "m.source.page_count", "m.extraction_summary.overall_status", counts("m.extraction_summary.page_status_counts").alias("statuses"),
+        counts("m.extraction_summary.backend_page_counts").alias("backends"),
+    )
 
 
 @query(
-    """SELECT DISTINCT manual_id, line_id, len(section_number) AS level, title, printed_page AS pdf_page_number, CASE WHEN printed_page > 0 THEN printed_page - 1 END AS pdf_page_index FROM toc_entries WHERE section_number IS NOT NULL"""
+    """WITH e AS (SELECT DISTINCT manual_id, line_id, len(section_number) AS level, title, printed_page FROM toc_entries WHERE section_number IS NOT NULL)
+       SELECT manual_id, CAST(row_number() OVER (PARTITION BY manual_id ORDER BY line_id, level, title, printed_page NULLS FIRST) - 1 AS INTEGER) AS pos, CAST(level AS INTEGER) AS level, title, printed_page AS pdf_page_number,
+       CASE WHEN printed_page > 0 THEN printed_page - 1 END AS pdf_page_index FROM e"""
 )
 def outline(spark: SparkSession, folder: str) -> DataFrame:
-    """Outline entries with page indexes."""
-    t = read_table(spark, folder, "toc_entries").where("section_number IS NOT NULL")
-    page = F.col("printed_page")
-    return t.select("manual_id", "line_id", F.size("section_number").cast("bigint").alias("level"), "title", page.alias("pdf_page_number"), F.when(page > 0, page - 1).alias("pdf_page_index")).distinct()
+    """The outlines of manifests with page indexes; the contents entries stand for the PDF's own outline."""
+    t = read_table(spark, folder, "toc_entries").where("section_number IS NOT NULL").select("manual_id", "line_id", F.size("section_number").alias("level"), "title", "printed_page").distinct()
+    entry = F.transform(F.sort_array(F.collect_list(F.struct("line_id", "level", "title", "printed_page"))), lambda x: F.struct(x["level"].alias("level"), x["title"].alias("title"), x["printed_page"].alias("pdf_page_number")))
+    return canonical.outline(t.groupBy("manual_id").agg(entry.alias("toc")).select(F.struct("manual_id").alias("source"), "toc"))
+
+
+@query(f"WITH {Q.LINES} SELECT manual_id, page_id, pdf_page_number, block_id, line_id, {Q.stripped('text')} AS text, page_quality, page_height FROM lines")
+def pages_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    """Canonical pages of all lines, written as JSON, read again and flattened."""
+    own = lines.current_lines(read_table(spark, folder, "line_records"))
+    line = F.struct("line_index", F.col("line_id").alias("id"), "bbox", F.array(F.struct("text")).alias("spans"))
+    page = ["manual_id", "page_id", "pdf_page_number", "page_index", "page_width", "page_height", "page_quality", "backend"]
+    blocks = own.groupBy(*page, "block_index", "block_id").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    pages = blocks.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("block_index", F.col("block_id").alias("id"), F.lit("text").alias("type"), "lines"))).alias("blocks"))
+    layer = F.struct("backend", F.struct(F.col("page_quality").alias("status")).alias("quality"), "blocks")
+    path = shared_path(spark, "pages")
+    sinks.write_pages(pages.select("manual_id", F.col("page_id").alias("id"), "pdf_page_number", F.col("page_index").alias("pdf_page_index"), F.col("page_width").alias("width"), F.col("page_height").alias("height"), layer.alias("text_layer")), path)
+    flat = canonical.flatten(canonical.read_pages(spark, path))
+    return lines.source_ref(flat, "page_quality", "page_height")
+
+
+@query(
+    f"""WITH {Q.LINES}, w AS (SELECT manual_id, page_id, block_index, line_index, line_id, {Q.stored_repair(Q.lost_controls("array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda x: x <> ''), ' ')"))} AS t FROM lines),
+        b AS (SELECT manual_id, page_id, block_index, string_agg(t, chr(10) ORDER BY line_index, line_id) AS t FROM w GROUP BY ALL) SELECT manual_id, page_id, string_agg(t, chr(10) || chr(10) ORDER BY block_index) AS text FROM b GROUP BY ALL"""
+)
+def xhtml_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's lines as word boxes in XHTML, parsed and put together again."""
+    own = lines.current_lines(read_table(spark, folder, "line_records"))
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    box = 'xMin="1" yMin="2" xMax="3" yMax="4"'
+    tagged = lambda tag, c: F.concat(F.lit(f"<{tag} {box}>"), c, F.lit(f"</{tag}>"))
+    line = tagged("line", F.array_join(F.transform(F.filter(F.split(escaped, r"[ \t\n\r]+"), lambda x: x != ""), lambda x: tagged("word", x)), ""))
+    blocks = own.groupBy("manual_id", "page_id", "block_index").agg(F.sort_array(F.collect_list(F.struct("line_index", "line_id", line.alias("x")))).alias("l"))
+    block = tagged("block", F.array_join("l.x", ""))
+    pages = blocks.groupBy("manual_id", "page_id").agg(F.sort_array(F.collect_list(F.struct("block_index", block.alias("x")))).alias("b"))
+    whole = pages.select(F.to_json(F.struct("manual_id", "page_id")).alias("manual_id"), F.concat(F.lit('<page width="1" height="1"><flow>'), F.array_join("b.x", ""), F.lit("</flow></page>")).alias("xhtml"))
+    texts = xhtml.page_texts(xhtml.parse(whole)).withColumn("k", F.from_json("manual_id", "manual_id string, page_id string"))
+    return texts.select("k.manual_id", "k.page_id", "text")
 
 
 @query("SELECT manual_id, page_id, pdf_page_index, pdf_page_number, coalesce(page_label, '') AS page_label, round(width, 3) AS width, round(height, 3) AS height, rotation, coalesce(len(warnings), 0) AS warnings FROM manual_pages")

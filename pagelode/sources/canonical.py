@@ -24,9 +24,9 @@ MANIFEST = (
 )
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of one or many manuals, a JSON document each; missing fields are null."""
-    return spark.read.schema(T._parse_datatype_string(PAGE)).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
+def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Pages of one or many manuals, a JSON document in each line or, to ``multi_line``, in each file; missing fields are null."""
+    return spark.read.schema(T._parse_datatype_string(PAGE)).option("multiLine", multi_line).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Page records, compact JSON, in one folder for each manual."""
-    pages.write.mode("overwrite").partitionBy("manual_id").json(path)
+    """Page records, one line of compact JSON each, in one folder for each manual."""
+    pages.withColumn("manual", F.col("manual_id")).write.mode("overwrite").partitionBy("manual").json(path)
 
 
 def write_table(df: DataFrame, path: str, by: str | None = "manual_id") -> None:

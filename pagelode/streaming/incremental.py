@@ -14,7 +14,7 @@ def append_lines(spark: SparkSession, pages: str, lines: str, checkpoint: str) -
 
     Stateless, so there is no watermark; each file's lines are written once for each version of the file name.
     """
-    source = spark.readStream.schema(T._parse_datatype_string(PAGE)).option("multiLine", True).json(pages)
+    source = spark.readStream.schema(T._parse_datatype_string(PAGE)).json(pages)
 
     def write(batch: DataFrame, _: int) -> None:
         flatten(batch).write.mode("append").parquet(lines)
