@@ -1,10 +1,12 @@
 """Column functions over text: white space, repair, folding, section numbers and contents lines.
 
-Everything is a built-in expression but Unicode normal forms, which only the texts that need them go through.
+Everything is a built-in expression but what needs Unicode normal forms: one Arrow function for each use, in which plain texts
+take a short way.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -28,40 +30,53 @@ C1_FROM = "".join(k for k, v in C1.items() if v)
 C1_TO = "".join(v for v in C1.values() if v)
 
 
-#: A text without any of these characters is in composed form: marks, conjoining letters, and what has another canonical form.
-UNCOMPOSED = "[\\p{M}\u0340-\u0345\u0374\u037e\u0387\u0958-\u0fff\u1100-\u11ff\u1f00-\u1fff\u2000\u2001\u2126\u212a\u212b\u2329\u232a\u2adc\uf900-\ufaff\ufb1d-\ufb4f\\x{11000}-\\x{2ffff}]"
-# Letters that most texts here hold, and what folding makes of them.
-PLAIN_FROM, PLAIN_TO = "ăâîșțşţáéíóúàèìòùäöüçñêôĂÂÎȘȚŞŢÁÉÍÓÚÀÈÌÒÙÄÖÜÇÑÊÔ", "aaiststaeiouaeiouaoucneo" * 2
-#: After these letters are made plain, a text with any other character than ASCII and common signs needs the full folding.
-UNPLAIN = "[\\x{80}-\\x{10ffff}&&[^„“”‘’«»–—…·•²³°→←∈√∫∪∩≤≥∞\u00a0]]"
+# Letters that most texts here hold, and what folding makes of them; a text of these, ASCII and common signs needs no normal form.
+PLAIN_LETTERS = dict(zip("ăâîșțşţáéíóúàèìòùäöüçñêô", "aaiststaeiouaeiouaoucneo"))
+_PLAIN = str.maketrans(PLAIN_LETTERS)
+_UNPLAIN = re.compile("[^\x00-\x7f„“”‘’«»–—…·•²³°→←∈√∫∪∩≤≥∞\u00a0" + "".join(c + c.upper() for c in PLAIN_LETTERS) + "]")
 
 
-@pandas_udf(StringType())
-def _composed(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+def _compose(text: str) -> str:
+    return text if text.isascii() or unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
 
 
-def composed(c: Column) -> Column:
-    """Canonical composition; null becomes the empty string. Only texts that can change leave the JVM."""
-    odd = c.rlike(UNCOMPOSED)
-    return F.coalesce(F.when(odd, _composed(F.when(odd, c))).otherwise(c), F.lit(""))
+@pandas_udf(StringType())
+def composed(s: pd.Series) -> pd.Series:
+    """Canonical composition; null becomes the empty string."""
+    return s.fillna("").map(_compose)
 
 
 def _fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
+    if not _UNPLAIN.search(text):
+        return text.lower().translate(_PLAIN)
     text = unicodedata.normalize("NFD", text)
     return "".join(c for c in text if unicodedata.category(c) != "Mn").casefold()
 
 
 @pandas_udf(StringType())
-def _folded(s: pd.Series) -> pd.Series:
-    return s.map(_fold, na_action="ignore")
+def folded(s: pd.Series) -> pd.Series:
+    """Without diacritics and case; null becomes the empty string."""
+    return s.fillna("").map(_fold)
+
+
+_SEARCH = str.maketrans(SEARCH_FROM, SEARCH_TO)
 
 
-def folded(c: Column) -> Column:
-    """Without diacritics and case; null becomes the empty string. Texts of plain letters and signs stay in the JVM."""
-    plain = F.translate(c, PLAIN_FROM, PLAIN_TO)
-    odd = plain.rlike(UNPLAIN)
-    return F.coalesce(F.when(odd, _folded(F.when(odd, c))).otherwise(F.lower(plain)), F.lit(""))
+def _search_fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
+    text = _compose(text)
+    for broken, right in SEARCH_SEQUENCES:
+        text = text.replace(broken, right)
+    return _fold(text.translate(_SEARCH))
+
+
+@pandas_udf(StringType())
+def search_folded(s: pd.Series) -> pd.Series:
+    """Repaired for search and folded, in one pass."""
+    return s.fillna("").map(_search_fold)
 
 
 def stripped(c: Column) -> Column:
@@ -87,7 +102,7 @@ def search_repair(c: Column) -> Column:
 
 def match_form(c: Column) -> Column:
     """The form in which titles are compared: repaired, folded, words separated by single blanks."""
-    return F.trim(F.regexp_replace(folded(search_repair(c)), r"[^\p{L}\p{N}_]+", " "))
+    return F.trim(F.regexp_replace(search_folded(c), r"[^\p{L}\p{N}_]+", " "))
 
 
 _PREFIX = rf"(?i)^{SPACE}*(?:(?:capitol(?:ul)?|chapter){SPACE}+)?({NUMBER})[.)]?{SPACE}+"
