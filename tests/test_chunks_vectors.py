@@ -139,7 +139,7 @@ def test_choice_of_layer(spark):
         ("m", "1"): ("POP", ["text_requires_visual_validation"]), ("m", "2"): ("POP", []), ("m", "3"): ("PYM", []), ("n", "1"): ("PYM", ["no_machine_readable_text"]),
         ("m", "4"): ("POP", ["no_machine_readable_text"]), ("m", "5"): ("PYM", ["text_requires_visual_validation"]),
     }
-    alone = {r["page_id"]: r["warnings"] for r in quality.choose_layer(native.where("manual_id = 'm'"), other, "native", False).collect()}
+    alone = {r["page_id"]: r["warnings"] for r in quality.choose_layer(native.where("manual_id = 'm'"), other.where("manual_id = 'm'"), "native", False).collect()}
     assert alone["4"] == ["do_not_create_semantic_units_from_this_page", "poppler_fallback_unavailable"]
     with pytest.raises(ValueError):
         quality.choose_layer(native, other, "poppler", False)
