@@ -73,7 +73,8 @@ def ensure_index(spark: SparkSession, path: str, keys: DataFrame, chunks: DataFr
 
 
 def _replace(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("manual_id").parquet(path)
+    # Few files a manual: rows of one meet in a task, and adaptive execution splits those of a large one.
+    df.hint("rebalance", "manual_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("manual_id").parquet(path)
 
 
 def checked(index: Index) -> Index:
