@@ -86,6 +86,59 @@ def test_scores_equal_brute_force(spark):
         assert r["score"] == pytest.approx(expected, abs=1e-9)
 
 
+GLOSSARY = "transformarea liniară: 200\npermutarea pară: 5\n– profesorul de la catedră\nelevul atent: 283\nintegrala definită: 117\n– divizorul comun.\ndreapta tangentă: 261"
+NARROW = "Este evident că divizorul comun definește aria\nsuprafeței hașurate cu ajutorul unui desen ajutător.\nPrin urmare, dreapta tangentă descrie coeficienții\nnecunoscuți, întrucât lim a_n = 9536/71."
+_TERMS = sorted({w.lower() for w in Q.LONG.findall(GLOSSARY + " " + NARROW)})
+
+
+def _many(n, kind):
+    """A text of that kind, of the words of both texts above."""
+    rng = random.Random(f"{n} {kind}")
+    entry = lambda: " ".join(rng.choices(_TERMS, k=2))
+    if kind == "list":
+        return "\n".join(rng.choice([f"- {entry()}", f"• {entry()};", f"- {entry()}.", f"{entry()}: {rng.randrange(300)}"]) for _ in range(rng.randrange(4, 12)))
+    sentence = lambda: f"{' '.join(rng.choices(_TERMS, k=rng.randrange(8, 12)))}, {' '.join(rng.choices(_TERMS, k=4))}.".capitalize()
+    if kind == "prose":
+        return "\n".join(sentence() for _ in range(rng.randrange(3, 8)))
+    words = " ".join(sentence() for _ in range(5)).split()
+    return "\n".join(" ".join(words[k : k + 6]) for k in range(0, len(words), 6))
+
+
+@pytest.mark.parametrize("lang", ["ro", "hu"])
+def test_ranks_decide_how_lines_are_read(spark, lang):
+    """Hungarian has no other document of its own, so all languages' documents are compared there."""
+    others = [(n, _many(n, ("list", "list", "prose", "prose", "prose", "wrapped")[n % 6]), "ro") for n in range(900)]
+    out = {r["doc_id"]: r["kind"] for r in Q.document_forms(table(spark, [(*r, "x", "x", "x") for r in [*others, (1000, GLOSSARY, lang), (1001, NARROW, lang)]])).collect()}
+    assert (out[1000], out[1001]) == ("list", None)
+    assert all(out[n] == ("list" if n % 6 < 2 else None) for n in range(900))
+    few = {r["doc_id"]: r["kind"] for r in Q.document_forms(table(spark, [(*r, "x", "x", "x") for r in [*others[:90], (1000, GLOSSARY, lang), (1001, NARROW, lang)]])).collect()}
+    assert (few[1000], few[1001]) == (None, "list")  # the first reading, as there are no ranks
+
+
+def test_evidence_equals_brute_force(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in range(1500):
+        kind = rng.choice([None, None, "list", "list", "table"])
+        values = [round(rng.choice([0.0, 0.5, 1.0, rng.random()]), 3) for _ in Q.RANKED] if rng.random() < 0.9 else [round(rng.random(), 3)] + [None] * 4
+        rows.append((n, rng.choice(["ro", "ro", "ro", "en", "en", "fr"] if n < 1450 else ["it"]), kind, *values))
+    forms = spark.createDataFrame(rows, "doc_id bigint, language string, kind string, " + ", ".join(f"{s} double" for s in Q.RANKED))
+    got = {r["doc_id"]: r["evidence"] for r in Q.line_evidence(forms).collect()}
+    ranked = [r for r in rows if r[4] is not None and r[2] != "table"]
+    assert len(got) == len(rows)
+    for n, language, kind, *values in rows:
+        expected = 0.0
+        if values[1] is not None and kind != "table":
+            own = [r for r in ranked if r[1] == language]
+            if min(sum(r[2] is None for r in own), sum(r[2] == "list" for r in own)) < Q.LEAST:
+                own = ranked
+            prose, lists = [r[3:] for r in own if r[2] is None], [r[3:] for r in own if r[2] == "list"]
+            floor = 1 / (min(len(prose), len(lists)) + 1)
+            for k, v in enumerate(values):
+                expected += math.log(max(floor, sum(x[k] <= v for x in lists) / len(lists))) - math.log(max(floor, sum(x[k] >= v for x in prose) / len(prose)))
+        assert got[n] == pytest.approx(expected, abs=1e-9)
+
+
 def test_figures(spark):
     df = table(spark, [(1, "ab 1\x01�\n", "ro", "", "", ""), (2, None, None, "", "", "")])
     out = {r["doc_id"]: r for r in Q.text_figures(df).collect()}
